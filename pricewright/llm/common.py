@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 
@@ -40,6 +41,22 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in small Arrow batches: a few MB each at usual lengths."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def trim() -> None:
+    """In a Python worker, give freed memory back: idle workers of earlier stages share the executor's limit."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def text_keys(text: Column) -> tuple[Column, Column]:
     """Two independent 64-bit hashes: together the identity of a text, the same on every run."""
     text = F.coalesce(text, F.lit(""))

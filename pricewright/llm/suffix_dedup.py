@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import windows as W
-from .common import partitions, read, release, text_keys, without, written
+from .common import bounded_batches, partitions, read, text_keys, trim, without, written
 from .shingles import word_spans, word_values
 
 #: Distinct runs of one first digit whose windows stay together in pass 3; a larger group is split by window.
 SPLIT = 2048
 #: Windows that meet within a batch of pass 3, and that make up one group of its shuffle.
-MEET, GROUP = 1_500_000, 1_000_000
+MEET, GROUP = 300_000, 400_000
 
 ADDED = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -71,6 +71,7 @@ def _runs(unit: str, width: int, digit: int):
                     into.append(x)
             if columns[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], names=["akey", "rest", "k1", "k2", "start", "n"])
+        trim()
 
     return step
 
@@ -137,6 +138,7 @@ def _windows(unit: str, width: int, buckets: int):
                     runs, values, size = [], [], 0
         if runs:
             yield flush(runs, values)
+        trim()
 
     return step
 
@@ -196,6 +198,7 @@ def repeated_spans(docs: DataFrame, width: int, unit: str = "bytes", text: str =
     overlap. A null text is an empty one; copies of a text stand for one another.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     digit = width // 2
     k1, k2 = text_keys(F.col(text))
     keyed = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(text).alias("text"))
@@ -242,6 +245,7 @@ def _cut(unit: str, keep_text: bool, text_at: int, fields: list[pa.Field]):
                 columns[text_at] = pa.array(kept_texts, pa.string())
             added = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())]
             yield pa.RecordBatch.from_arrays([*columns, *added], names=[*fields, *ADDED])
+        trim()
 
     return step
 
@@ -272,6 +276,3 @@ def suffix_dedup(docs: DataFrame, width: int = 400, unit: str = "bytes", text: s
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup(docs, 400, "bytes", keep_text=False).select("doc_id", *ADDED)
-
-
-__all__ = ["op2_suffix_dedup", "release", "repeated_spans", "suffix_dedup"]
