@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from .jaccard_join import op9_jaccard_join
 from .suffix_dedup import op2_suffix_dedup
 
-QUERIES = {"op2_suffix_dedup": op2_suffix_dedup}
+QUERIES = {
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
+}
 ORACLES: dict[str, str] = {}
