@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import windows as W
@@ -72,8 +72,10 @@ def _describe(words: int):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, kinds[2]), pa.array(c1, kinds[3]), pa.array(c2, kinds[4]), pa.array(bits, kinds[5]), pa.nulls(size, kinds[6]), pa.nulls(size, kinds[7])], names=names)
         for block in range(SLOTS // BLOCK):
             part = counts[block * BLOCK : (block + 1) * BLOCK]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, k) for k in kinds[:6]), pa.array([block], kinds[6]), pa.array([part.tobytes()], kinds[7])], names=names)
+            at = np.flatnonzero(part)
+            if len(at):
+                packed = at.astype(np.uint16).tobytes() + part[at].tobytes()
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, k) for k in kinds[:6]), pa.array([block], kinds[6]), pa.array([packed], kinds[7])], names=names)
         trim()
 
     return step
@@ -88,7 +90,9 @@ def _heavy_slots(spark: SparkSession, sketch: DataFrame) -> bytes:
     def total(table: pa.Table) -> pa.Table:
         counts = np.zeros(BLOCK, np.int64)
         for x in table["counts"]:
-            counts += np.frombuffer(x.as_buffer(), np.int32)
+            raw = x.as_buffer()
+            n = len(raw) // 6
+            counts[np.frombuffer(raw, np.uint16, n)] += np.frombuffer(raw, np.uint8)[2 * n :].view(np.int32)
         return pa.table({"block": table["block"][:1], "counts": pa.array([counts.tobytes()], pa.binary())})
 
     summed = written(sketch.groupBy("block").applyInArrow(total, "block int, counts binary"), "sketch")
@@ -294,3 +298,24 @@ def component_ids(placed: DataFrame, key: str) -> DataFrame:
     """``placed`` with ``component_id``: the least ``key`` of the rows with its root, its own if the root is null."""
     least = placed.filter("root is not null").groupBy("root").agg(F.min(key).alias("component_id"))
     return placed.join(least, "root", "left").withColumn("component_id", F.when(F.col("root").isNull(), F.col(key)).otherwise(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, key: str, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` but for all save one of each component: the row of least ``key``, of equal keys one.
+
+    Rows without words stay, whether or not they are equal. A null key counts as greater than any other.
+    """
+    placed = jaccard_components(docs, words, percent)
+    order = F.struct(F.col(f"`{key}`").isNull().alias("missing"), F.col(f"`{key}`").alias("key"), F.xxhash64(F.lit(7), F.coalesce("text", F.lit(""))).alias("text_hash"))
+    keyed = placed.withColumn("order_", order)
+    least = keyed.filter("root is not null").groupBy("root").agg(F.min("order_").alias("best"))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    chosen = written(least.select(F.col("best.key").alias("key_"), F.col("best.text_hash").alias("text_hash_"), F.lit(True).alias("chosen")), "chosen")
+    hashed = docs.withColumn("text_hash_", F.xxhash64(F.lit(7), F.coalesce("text", F.lit(""))))
+    blank = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]")) == 0
+    joined = hashed.join(chosen, (hashed[key].eqNullSafe(chosen.key_)) & (hashed.text_hash_ == chosen.text_hash_), "left").withColumn("blank_", blank)
+    kept = joined.filter("blank_ or chosen")
+    if not hashed.groupBy(key, "text_hash_").count().filter("count > 1").isEmpty():  # whole rows repeat
+        own = Window.partitionBy(key, "text_hash_").orderBy(F.col(key))
+        kept = kept.withColumn("copy_", F.row_number().over(own)).filter("blank_ or copy_ = 1")
+    return kept.select(*names)

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from .decontamination import OP7_SQL, op7_decontamination
 from .jaccard_join import op9_jaccard_join
+from .packing import op1_packing
 from .suffix_dedup import op2_suffix_dedup
+from .toxicity import op3_toxicity
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_toxicity": op3_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_decontamination": OP7_SQL,
+}
