@@ -27,8 +27,10 @@ from .common import bounded_batches, partitions, read, text_keys, trim, without,
 from .components import components
 from .shingles import shingle_set
 
-#: Slots of the counting sketch (a power of two), those of one shuffled block, and times the mean from which a slot is heavy.
-SLOTS, BLOCK, HEAVY = 1 << 22, 1 << 15, 4
+#: Least and most slots of the counting sketch (powers of two; there is about one for each eight tokens), and those of one shuffled block.
+LEAST_SLOTS, MOST_SLOTS, BLOCK = 1 << 18, 1 << 25, 1 << 15
+#: Rounds of stars at most; what they leave apart meets in tiles.
+ROUNDS = 3
 #: Bits of a signature, and the largest block of documents that meet in one task.
 BITS, TILE = 2048, 1024
 #: Prefix entries of one group of the shuffle.
@@ -51,18 +53,18 @@ def _name(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(xxhash.xxh3_128_digest(tokens.tobytes()), np.int64).tolist())
 
 
-def _describe(words: int):
+def _describe(words: int, slots: int):
     """One row per document, and the sketch's counts of the whole task."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SLOTS, np.int32)
+        counts = np.zeros(slots, np.int32)
         names = ["k1", "k2", "n", "c1", "c2", "bits", "block", "counts"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
         for batch in batches:
             n, c1, c2, bits = [], [], [], []
             for text in _texts(batch.column(2)):
                 tokens = shingle_set(text, words)
-                np.add.at(counts, (tokens & np.uint64(SLOTS - 1)).astype(np.int64), 1)
+                np.add.at(counts, (tokens & np.uint64(slots - 1)).astype(np.int64), 1)
                 name = _name(tokens)
                 n.append(len(tokens))
                 c1.append(name[0])
@@ -70,7 +72,7 @@ def _describe(words: int):
                 bits.append(_signature(tokens))
             size = len(n)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, kinds[2]), pa.array(c1, kinds[3]), pa.array(c2, kinds[4]), pa.array(bits, kinds[5]), pa.nulls(size, kinds[6]), pa.nulls(size, kinds[7])], names=names)
-        for block in range(SLOTS // BLOCK):
+        for block in range(slots // BLOCK):
             part = counts[block * BLOCK : (block + 1) * BLOCK]
             at = np.flatnonzero(part)
             if len(at):
@@ -84,8 +86,8 @@ def _describe(words: int):
 DESCRIBED = "k1 long, k2 long, n long, c1 long, c2 long, bits array<long>, block int, counts binary"
 
 
-def _heavy_slots(spark: SparkSession, sketch: DataFrame) -> bytes:
-    """Packed bitmap of the slots that hold HEAVY times the mean or more; SLOTS / 8 bytes, whatever the input."""
+def _heavy_slots(sketch: DataFrame, slots: int) -> bytes:
+    """Packed bitmap of the slots that hold far more than the mean; MOST_SLOTS / 8 bytes at most, whatever the input."""
 
     def total(table: pa.Table) -> pa.Table:
         counts = np.zeros(BLOCK, np.int64)
@@ -101,21 +103,23 @@ def _heavy_slots(spark: SparkSession, sketch: DataFrame) -> bytes:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([int(np.frombuffer(x.as_buffer(), np.int64).sum()) for x in b.column(1)], pa.int64())], names=["n"])
 
-    mean = (summed.mapInArrow(each, "n long").agg(F.sum("n")).first()[0] or 0) / SLOTS
-    least = max(32, HEAVY * mean)
+    mean = (summed.mapInArrow(each, "n long").agg(F.sum("n")).first()[0] or 0) / slots
+    least = mean + 6 * mean**0.5 + 16
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             bits = [np.packbits(np.frombuffer(x.as_buffer(), np.int64) >= least, bitorder="little").tobytes() for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bits, pa.binary())], names=["block", "bits"])
 
-    out = bytearray(SLOTS // 8)
+    out = bytearray(slots // 8)
     for row in summed.mapInArrow(mark, "block int, bits binary").collect():
         out[row.block * BLOCK // 8 : (row.block + 1) * BLOCK // 8] = row.bits
     return bytes(out)
 
 
 def _prefixes(words: int, percent: int, heavy: bytes, buckets: int):
+    slots = 8 * len(heavy)
+
     """Prefix tokens, packed by bucket; entries of heavy tokens are dealt out evenly, marked by ``hot``."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +132,7 @@ def _prefixes(words: int, percent: int, heavy: bytes, buckets: int):
                     continue
                 seen.add(c)
                 p = len(t) - -(-percent * len(t) // 100) + 1
-                slot = (t & np.uint64(SLOTS - 1)).astype(np.int64)
+                slot = (t & np.uint64(slots - 1)).astype(np.int64)
                 h = (marks[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
                 first = np.argsort(h, kind="stable")[:p]
                 tokens.append(t[first])
@@ -241,9 +245,11 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     bounded_batches(spark)
     k1, k2 = text_keys(F.col(f"`{text}`"))
     keyed = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(f"`{text}`").alias("text"))
-    described = written(keyed.mapInArrow(_describe(words), DESCRIBED), "described")
+    size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (int(size) // 48).bit_length()))
+    described = written(keyed.mapInArrow(_describe(words, slots), DESCRIBED), "described")
     rows = described.filter("block is null")
-    heavy = _heavy_slots(spark, described.filter("block is not null").select("block", "counts"))
+    heavy = _heavy_slots(described.filter("block is not null").select("block", "counts"), slots)
     # one text stands for each class; of equal sets none is looked at twice
     classes = written(rows.filter("n > 0").groupBy("c1", "c2").agg(*[F.first(x).alias(x) for x in ("k1", "k2", "n", "bits")]), "classes").withColumnRenamed("c1", "id")
     entries = classes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
@@ -252,25 +258,29 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     meeting = written(packed.groupBy("bucket").applyInArrow(_meeting, "token long, id long, n int"), "meeting")
     signs = classes.select("id", "bits", "n")
 
-    def verified(pairs: DataFrame, one_each: bool) -> DataFrame:
+    def verified(pairs: DataFrame) -> DataFrame:
         differ = F.expr("aggregate(zip_with(abits, bbits, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
         both = pairs.join(signs.select(F.col("id").alias("a"), F.col("bits").alias("abits"), F.col("n").alias("an")), "a").join(signs.select(F.col("id").alias("b"), F.col("bits").alias("bbits"), F.col("n").alias("bn")), "b")
         # at most (an + bn - differ) / 2 shared
         can = both.withColumn("most", F.floor((F.col("an") + F.col("bn") - differ) / 2)).filter(f"100 * most >= {percent} * (an + bn - most)").select("a", "b")
-        if one_each:
-            can = can.groupBy("b").agg(F.min("a").alias("a"))
         can = written(can.select("a", "b"), "candidates")
         needed = can.select(F.col("a").alias("id")).union(can.select(F.col("b").alias("id"))).distinct().join(classes.select("id", "k1", "k2"), "id")
         sets = written(keyed.join(needed, ["k1", "k2"]).select("id", "text").mapInArrow(_sets(words), "id long, tokens binary"), "sets").dropDuplicates(["id"])
         full = can.join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("right")), "b").join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("left")), "a")
         return written(full.select("a", "b", "left", "right").mapInArrow(_intersect(percent), "a long, b long"), "links")
 
-    # every document meets the least one of each of its tokens
-    least = meeting.groupBy("token").agg(F.min("id").alias("a"))
-    stars = verified(meeting.join(least, "token").filter("a <> id").select("a", F.col("id").alias("b")).distinct(), True)
-    joined = written(components(stars), "joined")
-    # then those that still are apart, where a token has more than one component
-    placed = written(meeting.join(joined.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", F.coalesce("root", "id").alias("root")), "placed")
+    # every document meets one other: of those that are least in a token of it and elsewhere placed, the one in most tokens
+    links, placed = None, meeting.withColumn("root", F.col("id"))
+    for _ in range(ROUNDS):
+        least = placed.groupBy("token").agg(F.min("root").alias("first"), F.max("root").alias("last"), F.min(F.struct("root", "id")).getField("id").alias("a")).filter("first <> last").select("token", "first", "a")
+        often = placed.join(least, "token").filter("root <> first").groupBy("id", "a").agg(F.count("*").alias("c"))
+        stars = verified(often.groupBy(F.col("id").alias("b")).agg((-F.max(F.struct("c", (-F.col("a")).alias("a"))).getField("a")).alias("a")))
+        if stars.isEmpty():
+            break
+        links = stars if links is None else links.unionByName(stars)
+        joined = written(components(links), "joined")
+        placed = written(meeting.join(joined.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", F.coalesce("root", "id").alias("root")), "placed")
+    # what is still apart meets where a token has more than one component
     apart = written(placed.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("c")).filter("r0 <> r1").select("token", "c", F.ceil(F.col("c") / TILE).cast("int").alias("parts")), "apart")
     tile_buckets = max(2 * partitions(spark), -(-int(apart.agg(F.sum(2 * F.col("c") * F.col("parts"))).first()[0] or 0) // GROUP))
     open_ = placed.join(apart, "token")
@@ -281,8 +291,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     tiles = banded.withColumn("part", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("x", F.least("part", "other")).withColumn("y", F.greatest("part", "other"))
     placed_tiles = tiles.select(F.xxhash64("token", "band").alias("token"), "id", "n", "root", "x", "y", "part", F.pmod(F.xxhash64("token", "band", "x", "y"), F.lit(tile_buckets)).cast("int").alias("bucket"))
     crossing = placed_tiles.groupBy("bucket").applyInArrow(_pairs_in_tiles(percent), "a long, b long").distinct()
-    more = verified(written(crossing, "crossing"), False)
-    roots = written(components(stars.unionByName(more)), "roots")
+    more = verified(written(crossing, "crossing"))
+    roots = written(components(more if links is None else links.unionByName(more)), "roots")
     base = without(docs, "n_shingles", "class_key", "root", "k1", "k2")
     about = rows.groupBy("k1", "k2").agg(F.first("n").alias("n_shingles"), F.first("c1").alias("class_key")).join(roots.select(F.col("node").alias("class_key"), "root"), "class_key", "left").withColumn("root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "class_key")))
     about = written(about, "about")
