@@ -29,10 +29,10 @@ from .shingles import shingle_set
 
 #: Least and most slots of the counting sketch (powers of two; there is about one for each eight tokens), and those of one shuffled block.
 LEAST_SLOTS, MOST_SLOTS, BLOCK = 1 << 18, 1 << 25, 1 << 15
-#: Rounds of stars at most; what they leave apart meets in tiles.
-ROUNDS = 3
-#: Bits of a signature, and the largest block of documents that meet in one task.
-BITS, TILE = 2048, 1024
+#: Rounds of stars at most, and the mean number of partners of an entry from which another round pays; what stars leave apart meets in tiles.
+ROUNDS, CROWDED = 3, 64
+#: Bits of a signature, those of it that tiles hold (its first half folded onto the second), and the largest block of documents that meet in one task.
+BITS, TILE_BITS, TILE = 2048, 1024, 1024
 #: Prefix entries of one group of the shuffle.
 GROUP = 800_000
 
@@ -208,26 +208,36 @@ def _intersect(percent: int):
 
 
 def _pairs_in_tiles(percent: int):
-    """Pairs of one tile in different components and of sizes that can link."""
+    """Pairs of one tile in different components whose sizes and bitmaps leave room for a link."""
 
     def step(table: pa.Table) -> pa.Table:
         token, i, n, root, x, y, part = (table[c].to_numpy() for c in ("token", "id", "n", "root", "x", "y", "part"))
+        flat = table["bits"].combine_chunks().flatten().to_numpy().view(np.uint64)
+        bits = flat.reshape(len(i), -1)
         found = [np.empty((0, 2), np.int64)]
         order = np.lexsort((n, y, x, token))
         same = (np.diff(token[order]) == 0) & (np.diff(x[order]) == 0) & (np.diff(y[order]) == 0)
         cut = np.concatenate(([0], np.flatnonzero(~same) + 1, [len(order)])) if len(order) else np.zeros(1, int)
         for a, b in zip(cut[:-1], cut[1:]):
             o = order[a:b]
-            left, right = (o[part[o] == x[o[0]]], o[part[o] == y[o[0]]])
-            for lo in range(0, len(left), 512):
-                part_left = left[lo : lo + 512]
-                can = (root[part_left][:, None] != root[right][None, :]) & (i[part_left][:, None] < i[right][None, :] if x[o[0]] == y[o[0]] else True)
-                s, l = n[part_left][:, None], n[right][None, :]
-                can &= (100 * np.minimum(s, l) >= percent * np.maximum(s, l))
+            one = x[o[0]] == y[o[0]]
+            left, right = (o, o) if one else (o[part[o] == x[o[0]]], o[part[o] == y[o[0]]])
+            for lo in range(0, len(left), 256):
+                l = left[lo : lo + 256]
+                small, large = np.minimum(n[l][:, None], n[right][None, :]).astype(np.int64), np.maximum(n[l][:, None], n[right][None, :])
+                can = (root[l][:, None] != root[right][None, :]) & (100 * small >= percent * large)
+                if one:
+                    can &= i[l][:, None] < i[right][None, :]
                 p, q = np.nonzero(can)
-                found.append(np.column_stack((i[part_left][p], i[right][q])))
-        pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+                for at in range(0, len(p), 1 << 16):
+                    u, v = l[p[at : at + (1 << 16)]], right[q[at : at + (1 << 16)]]
+                    differ = np.bitwise_count(bits[u] ^ bits[v]).sum(axis=1, dtype=np.int64)
+                    total = n[u].astype(np.int64) + n[v]
+                    most = (total - differ) // 2
+                    ok = 100 * most >= percent * (total - most)
+                    found.append(np.column_stack((i[u[ok]], i[v[ok]])))
+        pairs = np.sort(np.concatenate(found), axis=1)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])}).group_by(["a", "b"]).aggregate([])
 
     return step
 
@@ -280,16 +290,20 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
         links = stars if links is None else links.unionByName(stars)
         joined = written(components(links), "joined")
         placed = written(meeting.join(joined.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", F.coalesce("root", "id").alias("root")), "placed")
+        crowd = placed.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("c")).filter("r0 <> r1").agg(F.sum(F.col("c") * F.col("c")) / F.sum("c")).first()[0]
+        if (crowd or 0) < CROWDED:
+            break
     # what is still apart meets where a token has more than one component
     apart = written(placed.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("c")).filter("r0 <> r1").select("token", "c", F.ceil(F.col("c") / TILE).cast("int").alias("parts")), "apart")
     tile_buckets = max(2 * partitions(spark), -(-int(apart.agg(F.sum(2 * F.col("c") * F.col("parts"))).first()[0] or 0) // GROUP))
-    open_ = placed.join(apart, "token")
+    fold = F.transform(F.sequence(F.lit(1), F.lit(TILE_BITS // 64)), lambda k: F.element_at("bits", k).bitwiseXOR(F.element_at("bits", k + TILE_BITS // 64)))
+    open_ = placed.join(apart, "token").join(signs.select("id", fold.alias("bits")), "id")
     # neighbouring size bands meet: an entry stands in its own band's tile and the next one's
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent + 1e-9)))
     banded = open_.withColumn("band", F.explode(F.array(band, band + 1)))
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     tiles = banded.withColumn("part", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("x", F.least("part", "other")).withColumn("y", F.greatest("part", "other"))
-    placed_tiles = tiles.select(F.xxhash64("token", "band").alias("token"), "id", "n", "root", "x", "y", "part", F.pmod(F.xxhash64("token", "band", "x", "y"), F.lit(tile_buckets)).cast("int").alias("bucket"))
+    placed_tiles = tiles.select(F.xxhash64("token", "band").alias("token"), "id", "n", "root", "bits", "x", "y", "part", F.pmod(F.xxhash64("token", "band", "x", "y"), F.lit(tile_buckets)).cast("int").alias("bucket"))
     crossing = placed_tiles.groupBy("bucket").applyInArrow(_pairs_in_tiles(percent), "a long, b long").distinct()
     more = verified(written(crossing, "crossing"))
     roots = written(components(more if links is None else links.unionByName(more)), "roots")
