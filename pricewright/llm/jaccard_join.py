@@ -14,6 +14,7 @@ only pairs in different components meet, in blocks. A group of near copies is jo
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +54,18 @@ def _name(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(xxhash.xxh3_128_digest(tokens.tobytes()), np.int64).tolist())
 
 
+def _packed(part: np.ndarray, at: np.ndarray) -> bytes:
+    """A block's counts: a bitmap of the slots in use and the count of each, compressed to a bit or two for a slot in use."""
+    kind = np.uint8 if part.max() < 256 else np.int32
+    return zlib.compress(np.packbits(part > 0).tobytes() + part[at].astype(kind).tobytes(), 1)
+
+
+def _unpacked(packed) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(zlib.decompress(packed), np.uint8)
+    at, rest = np.flatnonzero(np.unpackbits(raw[: BLOCK // 8])), raw[BLOCK // 8 :]
+    return at, rest if len(rest) == len(at) else rest.view(np.int32)
+
+
 def _describe(words: int, slots: int):
     """One row per document, and the sketch's counts of the whole task."""
 
@@ -76,7 +89,7 @@ def _describe(words: int, slots: int):
             part = counts[block * BLOCK : (block + 1) * BLOCK]
             at = np.flatnonzero(part)
             if len(at):
-                packed = at.astype(np.uint16).tobytes() + part[at].tobytes()
+                packed = _packed(part, at)
                 yield pa.RecordBatch.from_arrays([*(pa.nulls(1, k) for k in kinds[:6]), pa.array([block], kinds[6]), pa.array([packed], kinds[7])], names=names)
         trim()
 
@@ -92,9 +105,8 @@ def _heavy_slots(sketch: DataFrame, slots: int) -> bytes:
     def total(table: pa.Table) -> pa.Table:
         counts = np.zeros(BLOCK, np.int64)
         for x in table["counts"]:
-            raw = x.as_buffer()
-            n = len(raw) // 6
-            counts[np.frombuffer(raw, np.uint16, n)] += np.frombuffer(raw, np.uint8)[2 * n :].view(np.int32)
+            at, part = _unpacked(x.as_buffer())
+            counts[at] += part
         return pa.table({"block": table["block"][:1], "counts": pa.array([counts.tobytes()], pa.binary())})
 
     summed = written(sketch.groupBy("block").applyInArrow(total, "block int, counts binary"), "sketch")
