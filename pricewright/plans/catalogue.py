@@ -2,5 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import identity_queries, market_queries, quality_queries, valuation_queries
+
+MODULES = (valuation_queries, market_queries, identity_queries, quality_queries)
+
+QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
+ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
