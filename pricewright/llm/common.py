@@ -31,6 +31,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables written for one operator; all go at its end but those it keeps.
+
+    What an operator returns rests on a kept table, so a lost executor needs none of the others.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        out = written(df, name)
+        self.paths += [f.rpartition("/")[0] for f in out.inputFiles()[:1]]
+        return out
+
+    def __exit__(self, *_) -> None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in map(hadoop, self.paths):
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        release(self.spark)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of plans that nothing refers to any more."""
     gc.collect()

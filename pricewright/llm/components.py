@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Scratch
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: long): root is the least node that it reaches.
 
     Each round hooks every root to its least neighbouring root and contracts the graph, so rounds
     grow with the logarithm of the longest path. Only distinct pairs of different roots stay.
     """
-    spark = edges.sparkSession
+    spark, written = edges.sparkSession, scratch.written
     live = written(edges.filter("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct(), "edges")
     roots = None
     while not live.isEmpty():

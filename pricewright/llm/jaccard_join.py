@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import windows as W
-from .common import bounded_batches, partitions, read, text_keys, trim, without, written
+from .common import Scratch, bounded_batches, partitions, read, text_keys, trim, without, written
 from .components import components
 from .shingles import shingle_set
 
@@ -99,7 +99,7 @@ def _describe(words: int, slots: int):
 DESCRIBED = "k1 long, k2 long, n long, c1 long, c2 long, bits array<long>, block int, counts binary"
 
 
-def _heavy_slots(sketch: DataFrame, slots: int) -> bytes:
+def _heavy_slots(scratch: Scratch, sketch: DataFrame, slots: int) -> bytes:
     """Packed bitmap of the slots that hold far more than the mean; MOST_SLOTS / 8 bytes at most, whatever the input."""
 
     def total(table: pa.Table) -> pa.Table:
@@ -109,7 +109,7 @@ def _heavy_slots(sketch: DataFrame, slots: int) -> bytes:
             counts[at] += part
         return pa.table({"block": table["block"][:1], "counts": pa.array([counts.tobytes()], pa.binary())})
 
-    summed = written(sketch.groupBy("block").applyInArrow(total, "block int, counts binary"), "sketch")
+    summed = scratch.written(sketch.groupBy("block").applyInArrow(total, "block int, counts binary"), "sketch")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -137,7 +137,7 @@ def _prefixes(words: int, percent: int, heavy: bytes, buckets: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = np.frombuffer(heavy, np.uint8)
         for batch in batches:
-            seen, tokens, ids, sizes, hot = set(), [], [], [], []
+            seen, tokens, ids, sizes, places, hot = set(), [], [], [], [], []
             for text in _texts(batch.column(0)):
                 t = shingle_set(text, words)
                 if not len(t) or (c := _name(t)[0]) in seen:
@@ -151,16 +151,17 @@ def _prefixes(words: int, percent: int, heavy: bytes, buckets: int):
                 hot.append(h[first])
                 ids.append(np.full(len(first), c, np.int64))
                 sizes.append(np.full(len(first), len(t), np.int32))
+                places.append(np.arange(len(first), dtype=np.int32))
             if not tokens:
                 continue
-            token, i, n, h = (np.concatenate(x) for x in (tokens, ids, sizes, hot))
+            token, i, n, pos, h = (np.concatenate(x) for x in (tokens, ids, sizes, places, hot))
             spread = np.where(h == 1, W.mix(token ^ i.view(np.uint64)), token >> np.uint64(1))
             bucket = (spread % np.uint64(buckets)).astype(np.int32) * 2 + h
             order = np.argsort(bucket, kind="stable")
             bucket = bucket[order]
             cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
-            rows = [(int(bucket[a]) // 2, bool(bucket[a] & 1), token[o].tobytes(), i[o].tobytes(), n[o].tobytes()) for a, b in zip(cut[:-1], cut[1:]) for o in (order[a:b],)]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "hot", "token", "id", "n"])
+            rows = [(int(bucket[a]) // 2, bool(bucket[a] & 1), token[o].tobytes(), i[o].tobytes(), n[o].tobytes(), pos[o].tobytes()) for a, b in zip(cut[:-1], cut[1:]) for o in (order[a:b],)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "hot", "token", "id", "n", "pos"])
         trim()
 
     return step
@@ -171,14 +172,14 @@ def _meeting(table: pa.Table) -> pa.Table:
     flag = np.concatenate([np.full(len(t.as_buffer()) // 8, h.as_py()) for t, h in zip(table["token"], table["hot"])])
     # equal entries come from copies in several batches
     token, i = (np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table[c]]) for c in ("token", "id"))
-    n = np.concatenate([np.frombuffer(x.as_buffer(), np.int32) for x in table["n"]])
+    n, pos = (np.concatenate([np.frombuffer(x.as_buffer(), np.int32) for x in table[c]]) for c in ("n", "pos"))
     order = np.lexsort((i, token))
     order = order[np.concatenate(([True], (np.diff(token[order]) != 0) | (np.diff(i[order]) != 0)))]
     t = token[order]
     new = np.concatenate(([True], t[1:] != t[:-1]))
     group = np.cumsum(new) - 1
     keep = order[(np.bincount(group) > 1)[group] | flag[order]]
-    return pa.table({"token": pa.array(token[keep]), "id": pa.array(i[keep]), "n": pa.array(n[keep])})
+    return pa.table({"token": pa.array(token[keep]), "id": pa.array(i[keep]), "n": pa.array(n[keep]), "pos": pa.array(pos[keep])})
 
 
 def _sets(words: int):
@@ -223,7 +224,7 @@ def _pairs_in_tiles(percent: int):
     """Pairs of one tile in different components whose sizes and bitmaps leave room for a link."""
 
     def step(table: pa.Table) -> pa.Table:
-        token, i, n, root, x, y, part = (table[c].to_numpy() for c in ("token", "id", "n", "root", "x", "y", "part"))
+        token, i, n, pos, root, x, y, part = (table[c].to_numpy() for c in ("token", "id", "n", "pos", "root", "x", "y", "part"))
         flat = table["bits"].combine_chunks().flatten().to_numpy().view(np.uint64)
         bits = flat.reshape(len(i), -1)
         found = [np.empty((0, 2), np.int64)]
@@ -237,7 +238,9 @@ def _pairs_in_tiles(percent: int):
             for lo in range(0, len(left), 256):
                 l = left[lo : lo + 256]
                 small, large = np.minimum(n[l][:, None], n[right][None, :]).astype(np.int64), np.maximum(n[l][:, None], n[right][None, :])
-                can = (root[l][:, None] != root[right][None, :]) & (100 * small >= percent * large)
+                # were this the first token they share, no more could follow it than stand behind it in both
+                behind = np.minimum((n[l] - pos[l])[:, None], (n[right] - pos[right])[None, :])
+                can = (root[l][:, None] != root[right][None, :]) & (100 * small >= percent * large) & ((100 + percent) * behind >= percent * (small + large))
                 if one:
                     can &= i[l][:, None] < i[right][None, :]
                 p, q = np.nonzero(can)
@@ -263,21 +266,30 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     set, link with nothing and get a null root; rows with equal sets share class_key and root.
     Columns of ``docs`` of these names are replaced; others, doc_id too, may hold anything.
     """
+    k1, k2 = text_keys(F.col(f"`{text}`"))
+    with Scratch(docs.sparkSession) as scratch:
+        about = _classes(docs, words, percent, text, scratch)
+    base = without(docs, "n_shingles", "class_key", "root", "k1", "k2")
+    return base.withColumns({"k1": k1, "k2": k2}).join(about, ["k1", "k2"], "left").select(*[F.col(f"`{c}`") for c in base.columns], "n_shingles", "class_key", "root")
+
+
+def _classes(docs: DataFrame, words: int, percent: int, text: str, scratch: Scratch) -> DataFrame:
+    """(k1, k2, n_shingles, class_key, root) of every distinct text."""
     spark = docs.sparkSession
     bounded_batches(spark)
     k1, k2 = text_keys(F.col(f"`{text}`"))
     keyed = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(f"`{text}`").alias("text"))
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (int(size) // 48).bit_length()))
-    described = written(keyed.mapInArrow(_describe(words, slots), DESCRIBED), "described")
+    described = scratch.written(keyed.mapInArrow(_describe(words, slots), DESCRIBED), "described")
     rows = described.filter("block is null")
-    heavy = _heavy_slots(described.filter("block is not null").select("block", "counts"), slots)
+    heavy = _heavy_slots(scratch, described.filter("block is not null").select("block", "counts"), slots)
     # one text stands for each class; of equal sets none is looked at twice
-    classes = written(rows.filter("n > 0").groupBy("c1", "c2").agg(*[F.first(x).alias(x) for x in ("k1", "k2", "n", "bits")]), "classes").withColumnRenamed("c1", "id")
+    classes = scratch.written(rows.filter("n > 0").groupBy("c1", "c2").agg(*[F.first(x).alias(x) for x in ("k1", "k2", "n", "bits")]), "classes").withColumnRenamed("c1", "id")
     entries = classes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
     buckets = max(2 * partitions(spark), -(-int(entries) // GROUP))
-    packed = keyed.select("text").mapInArrow(_prefixes(words, percent, heavy, buckets), "bucket int, hot boolean, token binary, id binary, n binary")
-    meeting = written(packed.groupBy("bucket").applyInArrow(_meeting, "token long, id long, n int"), "meeting")
+    packed = keyed.select("text").mapInArrow(_prefixes(words, percent, heavy, buckets), "bucket int, hot boolean, token binary, id binary, n binary, pos binary")
+    meeting = scratch.written(packed.groupBy("bucket").applyInArrow(_meeting, "token long, id long, n int, pos int"), "meeting")
     signs = classes.select("id", "bits", "n")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -285,11 +297,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
         both = pairs.join(signs.select(F.col("id").alias("a"), F.col("bits").alias("abits"), F.col("n").alias("an")), "a").join(signs.select(F.col("id").alias("b"), F.col("bits").alias("bbits"), F.col("n").alias("bn")), "b")
         # at most (an + bn - differ) / 2 shared
         can = both.withColumn("most", F.floor((F.col("an") + F.col("bn") - differ) / 2)).filter(f"100 * most >= {percent} * (an + bn - most)").select("a", "b")
-        can = written(can.select("a", "b"), "candidates")
-        needed = can.select(F.col("a").alias("id")).union(can.select(F.col("b").alias("id"))).distinct().join(classes.select("id", "k1", "k2"), "id")
-        sets = written(keyed.join(needed, ["k1", "k2"]).select("id", "text").mapInArrow(_sets(words), "id long, tokens binary"), "sets").dropDuplicates(["id"])
-        full = can.join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("right")), "b").join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("left")), "a")
-        return written(full.select("a", "b", "left", "right").mapInArrow(_intersect(percent), "a long, b long"), "links")
+        with Scratch(spark) as own:
+            can = own.written(can, "candidates")
+            needed = can.select(F.col("a").alias("id")).union(can.select(F.col("b").alias("id"))).distinct().join(classes.select("id", "k1", "k2"), "id")
+            # a set may come twice, from copies that two tasks met; its links then do too
+            sets = own.written(keyed.join(needed, ["k1", "k2"]).select("id", "text").mapInArrow(_sets(words), "id long, tokens binary"), "sets")
+            full = can.join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("right")), "b").join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("left")), "a")
+            return scratch.written(full.select("a", "b", "left", "right").mapInArrow(_intersect(percent), "a long, b long"), "links")
 
     # every document meets one other: of those that are least in a token of it and elsewhere placed, the one in most tokens
     links, placed = None, meeting.withColumn("root", F.col("id"))
@@ -300,13 +314,16 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
         if stars.isEmpty():
             break
         links = stars if links is None else links.unionByName(stars)
-        joined = written(components(links), "joined")
-        placed = written(meeting.join(joined.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", F.coalesce("root", "id").alias("root")), "placed")
+        joined = scratch.written(components(links, scratch), "joined")
+        placed = scratch.written(meeting.join(joined.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "pos", F.coalesce("root", "id").alias("root")), "placed")
         crowd = placed.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("c")).filter("r0 <> r1").agg(F.sum(F.col("c") * F.col("c")) / F.sum("c")).first()[0]
         if (crowd or 0) < CROWDED:
             break
     # what is still apart meets where a token has more than one component
-    apart = written(placed.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("c")).filter("r0 <> r1").select("token", "c", F.ceil(F.col("c") / TILE).cast("int").alias("parts")), "apart")
+    apart = scratch.written(placed.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("id").alias("lead"), F.count("*").alias("c")).filter("r0 <> r1").select("token", "lead", "c"), "apart")
+    # tokens of one least document go together, in blocks of the same kind, so that a pair is told once and not for every token
+    per_lead = apart.groupBy("lead").agg(F.ceil(F.max("c") / TILE).cast("int").alias("parts"))
+    apart = apart.join(per_lead, "lead")
     tile_buckets = max(2 * partitions(spark), -(-int(apart.agg(F.sum(2 * F.col("c") * F.col("parts"))).first()[0] or 0) // GROUP))
     fold = F.transform(F.sequence(F.lit(1), F.lit(TILE_BITS // 64)), lambda k: F.element_at("bits", k).bitwiseXOR(F.element_at("bits", k + TILE_BITS // 64)))
     open_ = placed.join(apart, "token").join(signs.select("id", fold.alias("bits")), "id")
@@ -315,14 +332,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     banded = open_.withColumn("band", F.explode(F.array(band, band + 1)))
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     tiles = banded.withColumn("part", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("x", F.least("part", "other")).withColumn("y", F.greatest("part", "other"))
-    placed_tiles = tiles.select(F.xxhash64("token", "band").alias("token"), "id", "n", "root", "bits", "x", "y", "part", F.pmod(F.xxhash64("token", "band", "x", "y"), F.lit(tile_buckets)).cast("int").alias("bucket"))
+    placed_tiles = tiles.select(F.xxhash64("token", "band").alias("token"), "id", "n", "pos", "root", "bits", "x", "y", "part", F.pmod(F.xxhash64("lead", "x", "y"), F.lit(tile_buckets)).cast("int").alias("bucket"))
     crossing = placed_tiles.groupBy("bucket").applyInArrow(_pairs_in_tiles(percent), "a long, b long").distinct()
-    more = verified(written(crossing, "crossing"))
-    roots = written(components(more if links is None else links.unionByName(more)), "roots")
-    base = without(docs, "n_shingles", "class_key", "root", "k1", "k2")
+    more = verified(scratch.written(crossing, "crossing"))
+    roots = scratch.written(components(more if links is None else links.unionByName(more), scratch), "roots")
     about = rows.groupBy("k1", "k2").agg(F.first("n").alias("n_shingles"), F.first("c1").alias("class_key")).join(roots.select(F.col("node").alias("class_key"), "root"), "class_key", "left").withColumn("root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "class_key")))
-    about = written(about, "about")
-    return base.withColumns({"k1": k1, "k2": k2}).join(about, ["k1", "k2"], "left").select(*[F.col(f"`{c}`") for c in base.columns], "n_shingles", "class_key", "root")
+    return written(about, "about")
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,10 +361,10 @@ def one_of_each(docs: DataFrame, key: str, words: int = 5, percent: int = 80) ->
     keyed = placed.withColumn("order_", order)
     least = keyed.filter("root is not null").groupBy("root").agg(F.min("order_").alias("best"))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    chosen = written(least.select(F.col("best.key").alias("key_"), F.col("best.text_hash").alias("text_hash_"), F.lit(True).alias("chosen")), "chosen")
+    chosen = written(least.select(F.col("best.key").alias("key_"), F.col("best.text_hash").alias("hash_"), F.lit(True).alias("chosen")), "chosen")
     hashed = docs.withColumn("text_hash_", F.xxhash64(F.lit(7), F.coalesce("text", F.lit(""))))
     blank = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]")) == 0
-    joined = hashed.join(chosen, (hashed[key].eqNullSafe(chosen.key_)) & (hashed.text_hash_ == chosen.text_hash_), "left").withColumn("blank_", blank)
+    joined = hashed.join(chosen, (hashed[key].eqNullSafe(chosen.key_)) & (hashed.text_hash_ == chosen.hash_), "left").withColumn("blank_", blank)
     kept = joined.filter("blank_ or chosen")
     if not hashed.groupBy(key, "text_hash_").count().filter("count > 1").isEmpty():  # whole rows repeat
         own = Window.partitionBy(key, "text_hash_").orderBy(F.col(key))

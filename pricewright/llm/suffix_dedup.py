@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import windows as W
-from .common import bounded_batches, partitions, read, text_keys, trim, without, written
+from .common import Scratch, bounded_batches, partitions, read, text_keys, trim, without, written
 from .shingles import word_spans, word_values
 
 #: Distinct runs of one first digit whose windows stay together in pass 3; a larger group is split by window.
@@ -197,17 +197,22 @@ def repeated_spans(docs: DataFrame, width: int, unit: str = "bytes", text: str =
     The keys are those of ``common.text_keys``; texts without such windows have no row. Intervals may
     overlap. A null text is an empty one; copies of a text stand for one another.
     """
+    with Scratch(docs.sparkSession) as scratch:
+        return _repeated_spans(docs, width, unit, text, scratch)
+
+
+def _repeated_spans(docs: DataFrame, width: int, unit: str, text: str, scratch: Scratch) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     digit = width // 2
     k1, k2 = text_keys(F.col(text))
     keyed = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(text).alias("text"))
-    runs = written(keyed.mapInArrow(_runs(unit, width, digit), RUN_SCHEMA), "runs")
+    runs = scratch.written(keyed.mapInArrow(_runs(unit, width, digit), RUN_SCHEMA), "runs")
     # pass 2, with one occurrence of each distinct run; `first` takes all four from the same row
     distinct = runs.groupBy("akey", "rest").agg(F.count("*").alias("c"), *[F.first(x).alias(x) for x in ("k1", "k2", "start", "n")])
     # pass 1: first digits of two distinct runs or more
     shared = distinct.groupBy("akey").agg(F.count("*").alias("nd")).filter("nd > 1")
-    status = written(distinct.join(shared, "akey", "left").filter("c > 1 or nd > 1"), "status")
+    status = scratch.written(distinct.join(shared, "akey", "left").filter("c > 1 or nd > 1"), "status")
     whole = runs.join(status.filter("c > 1").select("akey", "rest"), ["akey", "rest"]).select("k1", "k2", F.col("start").alias("lo"), (F.col("start") + F.col("n") + F.lit(width - 1)).cast("int").alias("hi")).distinct()
     # pass 3
     asking = status.filter("nd > 1")
@@ -215,7 +220,7 @@ def repeated_spans(docs: DataFrame, width: int, unit: str = "bytes", text: str =
     buckets = max(partitions(spark) * 2, -(-total // GROUP))
     listed = asking.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n", "akey", (F.col("c") > 1).alias("known"), F.ceil(F.col("nd") / SPLIT).cast("long").alias("parts"))).alias("runs"))
     entries = keyed.join(listed, ["k1", "k2"]).select("k1", "k2", "text", "runs").mapInArrow(_windows(unit, width, buckets), WINDOW_SCHEMA)
-    replies = written(entries.groupBy("bucket").applyInArrow(_replies(width), SPAN_SCHEMA), "replies")
+    replies = scratch.written(entries.groupBy("bucket").applyInArrow(_replies(width), SPAN_SCHEMA), "replies")
     spans = whole.unionByName(replies).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     return written(spans, "spans")
 
