@@ -5,7 +5,8 @@ that belong to links. A node's density sum adds up its children's; the node of t
 the heart of the page. The least density on the path from it to the body is the page's threshold:
 outside the heart, what is as dense is content too. Elements that say they are no part of an
 article (menus, forms, scripts, adverts, comments, ...) are left out before anything is counted,
-and an ``article`` or ``main`` element around the heart is taken whole.
+and where a page has ``article`` or ``main`` elements, the one around the heart is taken whole, else
+those in it.
 """
 
 from __future__ import annotations
@@ -163,6 +164,12 @@ def measure(root: Node) -> list[Node]:
     return order
 
 
+def _within(node: Node, above: Node) -> bool:
+    while node is not None and node is not above:
+        node = node.parent
+    return node is above
+
+
 def extract(page: str | None) -> str:
     """The main text of a page: blocks in page order, one to a line; empty if there is none."""
     root = parse(page or "")
@@ -176,9 +183,13 @@ def extract(page: str | None) -> str:
     while path[-1].parent is not None:
         path.append(path[-1].parent)
     landmarks = [n for n in path if n.tag == "article"] or [n for n in path if n.tag == "main"]
+    named = [n for n in order if n.tag in ("article", "main") and n.chars]
     chosen: set[int] = set()
     if landmarks:
         chosen.add(id(landmarks[-1]))
+    elif named:  # the heart holds the article, or is no part of it
+        around = {id(n) for n in named if _within(n, heart)}
+        chosen = around or {id(max(named, key=lambda n: (n.total, n.chars)))}
     else:
         body = next((i for i, n in enumerate(path) if n.tag == "body"), len(path) - 1)
         threshold = min(n.density for n in path[: body + 1])

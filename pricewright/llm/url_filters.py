@@ -91,9 +91,9 @@ def url_verdicts(pages: DataFrame, outcomes: DataFrame, rules=RULES, threshold:
     placed = base.withColumn("host", host).withColumn("path", path)
     labelled = placed.select("page_id", "host").join(outcomes.select("page_id", F.col("bad").cast("int").alias("bad")), "page_id", "left").select("host", "bad")
     text, says = longest_rule(F.col("host"), F.col("path"), rules)
-    blocked = small(reputation(labelled).filter(F.col("bound") > threshold).select("host", F.lit(True).alias("blocked")))
-    judged = placed.withColumn("rule", text).withColumn("rule_says", says).join(blocked, "host", "left")
-    return judged.select(*[F.col(f"`{c}`") for c in base.columns], "host", "path", "rule", F.coalesce("rule_says", F.when(F.col("blocked"), "block").otherwise("allow")).alias("verdict"))
+    blocked = small(reputation(labelled).filter(F.col("bound") > threshold).select("host", F.lit(True).alias("__blocked")))
+    judged = placed.withColumn("rule", text).withColumn("__rule_says", says).join(blocked, "host", "left")
+    return judged.select(*[F.col(f"`{c}`") for c in base.columns], "host", "path", "rule", F.coalesce("__rule_says", F.when(F.col("__blocked"), "block").otherwise("allow")).alias("verdict"))
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
