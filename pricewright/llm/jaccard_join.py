@@ -28,14 +28,14 @@ from .common import Scratch, bounded_batches, partitions, read, text_keys, trim,
 from .components import components
 from .shingles import shingle_set
 
-#: Least and most slots of the counting sketch (powers of two; there is about one for each eight tokens), and those of one shuffled block.
-LEAST_SLOTS, MOST_SLOTS, BLOCK = 1 << 18, 1 << 25, 1 << 15
+#: Least and most slots of the counting sketch (powers of two; there is one for each eight to sixteen tokens), and those of one shuffled block.
+LEAST_SLOTS, MOST_SLOTS, BLOCK = 1 << 18, 1 << 24, 1 << 15
 #: Rounds of stars at most, and the mean number of partners of an entry from which another round pays; what stars leave apart meets in tiles.
 ROUNDS, CROWDED = 3, 64
 #: Bits of a signature, those of it that tiles hold (its first half folded onto the second), and the largest block of documents that meet in one task.
 BITS, TILE_BITS, TILE = 2048, 1024, 1024
 #: Prefix entries of one group of the shuffle.
-GROUP = 800_000
+GROUP = 400_000
 
 
 def _texts(column) -> Iterator[bytes]:
@@ -280,7 +280,7 @@ def _classes(docs: DataFrame, words: int, percent: int, text: str, scratch: Scra
     k1, k2 = text_keys(F.col(f"`{text}`"))
     keyed = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(f"`{text}`").alias("text"))
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (int(size) // 48).bit_length()))
+    slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (int(size) // 96).bit_length()))
     described = scratch.written(keyed.mapInArrow(_describe(words, slots), DESCRIBED), "described")
     rows = described.filter("block is null")
     heavy = _heavy_slots(scratch, described.filter("block is not null").select("block", "counts"), slots)
