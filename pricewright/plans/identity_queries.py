@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import expr as E
 from ..operators import dedup, resolve
 from . import market as M
-from . import reference_sql as R
+from . import market_sql as R
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}

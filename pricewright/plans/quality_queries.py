@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import lifecycle, publish, quality
 from . import market as M
-from . import reference_sql as R
+from . import market_sql as R
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}

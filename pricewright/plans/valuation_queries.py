@@ -10,7 +10,7 @@ from ..functions import stats as S
 from ..functions.desirability import desirability, desirability_reasons
 from ..operators import valuation as V
 from . import market as M
-from . import reference_sql as R
+from . import market_sql as R
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
