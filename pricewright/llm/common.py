@@ -48,10 +48,18 @@ class Scratch:
         self.paths += [f.rpartition("/")[0] for f in out.inputFiles()[:1]]
         return out
 
-    def __exit__(self, *_) -> None:
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that no plan still to come reads."""
+        for table in tables:
+            self._delete([f.rpartition("/")[0] for f in table.inputFiles()[:1]])
+
+    def _delete(self, paths: list[str]) -> None:
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for path in map(hadoop, self.paths):
+        for path in map(hadoop, paths):
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __exit__(self, *_) -> None:
+        self._delete(self.paths)
         release(self.spark)
 
 

@@ -31,8 +31,8 @@ from . import windows as W
 from .common import Scratch, bounded_batches, partitions, read, text_keys, trim, without, written
 from .shingles import word_spans, word_values
 
-#: Distinct runs of one first digit whose windows stay together in pass 3; a larger group is split by window.
-SPLIT = 2048
+#: Runs of one first digit whose windows stay together in pass 3; a larger group is split by window.
+SPLIT = 256
 #: Windows that meet within a batch of pass 3, and that make up one group of its shuffle.
 MEET, GROUP = 300_000, 400_000
 
@@ -208,17 +208,20 @@ def _repeated_spans(docs: DataFrame, width: int, unit: str, text: str, scratch:
     k1, k2 = text_keys(F.col(text))
     keyed = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(text).alias("text"))
     runs = scratch.written(keyed.mapInArrow(_runs(unit, width, digit), RUN_SCHEMA), "runs")
-    # pass 2, with one occurrence of each distinct run; `first` takes all four from the same row
-    distinct = runs.groupBy("akey", "rest").agg(F.count("*").alias("c"), *[F.first(x).alias(x) for x in ("k1", "k2", "start", "n")])
-    # pass 1: first digits of two distinct runs or more
-    shared = distinct.groupBy("akey").agg(F.count("*").alias("nd")).filter("nd > 1")
-    status = scratch.written(distinct.join(shared, "akey", "left").filter("c > 1 or nd > 1"), "status")
-    whole = runs.join(status.filter("c > 1").select("akey", "rest"), ["akey", "rest"]).select("k1", "k2", F.col("start").alias("lo"), (F.col("start") + F.col("n") + F.lit(width - 1)).cast("int").alias("hi")).distinct()
+    # pass 1: first digits met twice or more, and whether what follows them differs
+    met_digits = runs.groupBy("akey").agg(F.count("*").alias("occ"), F.min("rest").alias("least"), F.max("rest").alias("most")).filter("occ > 1").select("akey", "occ", (F.col("least") != F.col("most")).alias("mixed"))
+    met = scratch.written(runs.join(met_digits, "akey"), "met")
+    scratch.drop(runs)
+    alike, mixed = met.filter("not mixed"), met.filter("mixed")
+    # pass 2, with one occurrence of each distinct run; `first` takes all of them from the same row
+    status = scratch.written(mixed.groupBy("akey", "rest").agg(F.count("*").alias("c"), *[F.first(x).alias(x) for x in ("k1", "k2", "start", "n", "occ")]), "status")
+    again = mixed.join(status.filter("c > 1").select("akey", "rest"), ["akey", "rest"]).select(*alike.columns)
+    whole = alike.unionByName(again).select("k1", "k2", F.col("start").alias("lo"), (F.col("start") + F.col("n") + F.lit(width - 1)).cast("int").alias("hi")).distinct()
     # pass 3
-    asking = status.filter("nd > 1")
+    asking = status
     total = asking.agg(F.sum("n")).first()[0] or 0
     buckets = max(partitions(spark) * 2, -(-total // GROUP))
-    listed = asking.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n", "akey", (F.col("c") > 1).alias("known"), F.ceil(F.col("nd") / SPLIT).cast("long").alias("parts"))).alias("runs"))
+    listed = asking.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n", "akey", (F.col("c") > 1).alias("known"), F.ceil(F.col("occ") / SPLIT).cast("long").alias("parts"))).alias("runs"))
     entries = keyed.join(listed, ["k1", "k2"]).select("k1", "k2", "text", "runs").mapInArrow(_windows(unit, width, buckets), WINDOW_SCHEMA)
     replies = scratch.written(entries.groupBy("bucket").applyInArrow(_replies(width), SPAN_SCHEMA), "replies")
     spans = whole.unionByName(replies).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
