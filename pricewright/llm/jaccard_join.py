@@ -34,6 +34,8 @@ LEAST_SLOTS, MOST_SLOTS, BLOCK = 1 << 18, 1 << 24, 1 << 15
 ROUNDS, CROWDED = 3, 64
 #: Bits of a signature, those of it that tiles hold (its first half folded onto the second), and the largest block of documents that meet in one task.
 BITS, TILE_BITS, TILE = 2048, 1024, 1024
+#: Tasks among which the tokens of one least document and tile are dealt; a pair may be told so often at most.
+SALT = 4
 #: Prefix entries of one group of the shuffle.
 GROUP = 400_000
 
@@ -321,7 +323,7 @@ def _classes(docs: DataFrame, words: int, percent: int, text: str, scratch: Scra
             break
     # what is still apart meets where a token has more than one component
     apart = scratch.written(placed.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("id").alias("lead"), F.count("*").alias("c")).filter("r0 <> r1").select("token", "lead", "c"), "apart")
-    # tokens of one least document go together, in blocks of the same kind, so that a pair is told once and not for every token
+    # tokens of one least document go together, in blocks of the same kind, so that a pair is told a few times and not for every token
     per_lead = apart.groupBy("lead").agg(F.ceil(F.max("c") / TILE).cast("int").alias("parts"))
     apart = apart.join(per_lead, "lead")
     tile_buckets = max(2 * partitions(spark), -(-int(apart.agg(F.sum(2 * F.col("c") * F.col("parts"))).first()[0] or 0) // GROUP))
@@ -332,7 +334,7 @@ def _classes(docs: DataFrame, words: int, percent: int, text: str, scratch: Scra
     banded = open_.withColumn("band", F.explode(F.array(band, band + 1)))
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     tiles = banded.withColumn("part", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("x", F.least("part", "other")).withColumn("y", F.greatest("part", "other"))
-    placed_tiles = tiles.select(F.xxhash64("token", "band").alias("token"), "id", "n", "pos", "root", "bits", "x", "y", "part", F.pmod(F.xxhash64("lead", "x", "y"), F.lit(tile_buckets)).cast("int").alias("bucket"))
+    placed_tiles = tiles.select(F.xxhash64("token", "band").alias("token"), "id", "n", "pos", "root", "bits", "x", "y", "part", F.pmod(F.xxhash64("lead", "x", "y", F.pmod(F.xxhash64("token"), F.lit(SALT))), F.lit(tile_buckets)).cast("int").alias("bucket"))
     crossing = placed_tiles.groupBy("bucket").applyInArrow(_pairs_in_tiles(percent), "a long, b long").distinct()
     more = verified(scratch.written(crossing, "crossing"))
     roots = scratch.written(components(more if links is None else links.unionByName(more), scratch), "roots")
