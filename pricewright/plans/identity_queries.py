@@ -87,12 +87,12 @@ def coincidence_audit(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select("item_id", "a_lot", "b_lot", F.round("a_price", 2).alias("a_price"), F.round("b_price", 2).alias("b_price"))
 
 
-@query("""with t as (select conv_id, turn, trim(regexp_replace(lower(left(text, 60)), '\\s+', ' ', 'g')) as s from conversations),
+@query("""with t as (select conv_id, turn, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) as s from conversations),
 g as (select *, case when len(s) >= 3 then list_distinct(list_transform(range(1, len(s) - 1), lambda i: substr(s, i, 3))) else [] end as g from t)
 select a.conv_id, a.turn, case when len(a.g) = 0 or len(b.g) = 0 then 0.0 else round(len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g))), 6) end as similarity from g a join g b on a.conv_id = b.conv_id and b.turn = a.turn + 1""")
 def trigram_jaccard(spark: SparkSession, d: str) -> DataFrame:
-    """Trigram similarity of the beginnings of consecutive turns."""
-    t = M.table(spark, d, "conversations").select("conv_id", "turn", E.trigrams(F.left("text", F.lit(60))).alias("g"))
+    """Trigram similarity of consecutive turns."""
+    t = M.table(spark, d, "conversations").select("conv_id", "turn", E.trigrams(F.col("text")).alias("g"))
     after = t.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("g").alias("h"))
     return t.join(after, ["conv_id", "turn"]).select("conv_id", "turn", F.round(E.set_similarity(F.col("g"), F.col("h")), 6).alias("similarity"))
 

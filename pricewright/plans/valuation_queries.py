@@ -175,15 +175,10 @@ def model_window_valuation(spark: SparkSession, d: str) -> DataFrame:
     return v.select("item_id", "sales_count", "n", "current_value", *r6("annual_return"), "signal", F.round(F.col("confidence") * V.BORROWED, 6).alias("confidence"))
 
 
-def sparse_sales(spark: SparkSession, d: str) -> DataFrame:
-    """Sales of which few are each item's own, so that some items borrow: those of suppliers 1 modulo 12."""
-    return M.sales(spark, d).filter("source_id % 12 = 1")
-
-
 @query()
 def signal_scope(spark: SparkSession, d: str) -> DataFrame:
-    """Valuation with the model-line fallback, over thinned sales: scope, price and trend of each item."""
-    sales, items, counts = sparse_sales(spark, d), M.items(spark, d), M.listing_counts(spark, d)
+    """Valuation with the model-line fallback: scope, price and trend of each item."""
+    sales, items, counts = M.sales(spark, d), M.items(spark, d), M.listing_counts(spark, d)
     own = V.valuations(V.own_scope(sales), items, counts, M.as_of())
     wide = V.valuations(V.window_scope(sales, items), items, counts, M.as_of())
     return V.best_scope(own, wide).select("item_id", "scope", "sales_count", "current_value", *r6("annual_return", "confidence"), "signal")
