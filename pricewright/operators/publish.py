@@ -47,3 +47,46 @@ def queue_upsert(queue: DataFrame, entries: DataFrame) -> DataFrame:
     """Review queue with new entries: nothing resolved changes, ``created_at`` is kept."""
     changing = [c for c in entries.columns if c not in ("source", "lot", "created_at")]
     return merged(queue, entries, ["source", "lot"], changing, [], lambda o: o("status") != "resolved")
+
+
+def exported(tables: dict[str, DataFrame], path: str, empty: Sequence[str] = (), leave_out: Sequence[str] = ()) -> None:
+    """Write the tables that are served, some as schemas only, each compacted to few files by Spark's own sizing."""
+    for name, df in tables.items():
+        if name not in leave_out:
+            (df.limit(0) if name in empty else df).hint("rebalance").write.mode("overwrite").parquet(f"{path}/{name}.parquet")
+
+
+def change_set(new: dict[str, DataFrame], old: dict[str, DataFrame], keys: dict[str, Sequence[str]], ignore: Sequence[str] = ()) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """For each table, parents before children as ``keys`` lists them: rows to upsert, and keys to delete (in reverse order)."""
+    return {name: (changed_rows(new[name], old[name], key, [c for c in ignore if c in new[name].columns]), deleted_keys(new[name], old[name], key)) for name, key in keys.items()}
+
+
+def reset(items: DataFrame, referenced: DataFrame) -> DataFrame:
+    """Items that a full reset keeps: those that a holding refers to."""
+    return items.join(referenced.select("item_id").distinct(), "item_id", "left_semi")
+
+
+def renamed_makes(items: DataFrame, sales: DataFrame) -> DataFrame:
+    """(item_id, survivor_id): items equal but for the case of their make fall to the spelling with most sales.
+
+    Blanks equal blanks here: the identity is compared as a whole.
+    """
+    identity = ["year", "model_key", "body", "generation", "modification", "displacement"]
+    counts = sales.groupBy("item_id").agg(F.count("*").alias("n"))
+    spelled = items.join(counts, "item_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    totals = spelled.groupBy("make").agg(F.sum("n").alias("make_n"))
+    ranked = spelled.join(totals, "make").withColumn("key", F.concat_ws("~", F.lower("make"), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in identity]))
+    best = ranked.groupBy("key").agg(F.max_by("item_id", F.struct("make_n", "make", "n", "item_id")).alias("survivor_id"))
+    return ranked.join(best, "key").filter("item_id <> survivor_id").select("item_id", "survivor_id")
+
+
+def repointed(children: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Children of merged items under the survivors."""
+    return children.join(mapping, "item_id", "left").withColumn("item_id", F.coalesce("survivor_id", "item_id")).drop("survivor_id").select(*children.columns)
+
+
+def append_history(spark, path: str, entry: dict) -> None:
+    """Add one run to the history, a folder of JSON lines."""
+    import json
+
+    spark.createDataFrame([(json.dumps(entry, sort_keys=True),)], "value string").coalesce(1).write.mode("append").text(path)
