@@ -73,9 +73,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand texts to Python in small Arrow batches: a few MB each at usual lengths."""
+def bounded_batches(spark: SparkSession, rows: int = 256, size: str = "8m") -> None:
+    """Hand texts to Python in small Arrow batches, bounded by rows and bytes: long texts come a few at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def trim() -> None:

@@ -230,7 +230,7 @@ def extracted(pages: DataFrame, html: str = "html") -> DataFrame:
 
     Each row is judged by its own page alone; columns of these names are replaced, others stay.
     """
-    bounded_batches(pages.sparkSession, 500)
+    bounded_batches(pages.sparkSession)
     base = without(pages, "text", "n_chars")
     names = [*base.columns, "text", "n_chars"]
     at = names.index(html)

@@ -37,7 +37,7 @@ BITS, TILE_BITS, TILE = 2048, 1024, 1024
 #: Tasks among which the tokens of one least document and tile are dealt; a pair may be told so often at most.
 SALT = 4
 #: Prefix entries of one group of the shuffle.
-GROUP = 400_000
+GROUP = 250_000
 
 
 def _texts(column) -> Iterator[bytes]:
@@ -181,6 +181,7 @@ def _meeting(table: pa.Table) -> pa.Table:
     new = np.concatenate(([True], t[1:] != t[:-1]))
     group = np.cumsum(new) - 1
     keep = order[(np.bincount(group) > 1)[group] | flag[order]]
+    trim()
     return pa.table({"token": pa.array(token[keep]), "id": pa.array(i[keep]), "n": pa.array(n[keep]), "pos": pa.array(pos[keep])})
 
 
@@ -254,6 +255,7 @@ def _pairs_in_tiles(percent: int):
                     ok = 100 * most >= percent * (total - most)
                     found.append(np.column_stack((i[u[ok]], i[v[ok]])))
         pairs = np.sort(np.concatenate(found), axis=1)
+        trim()
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])}).group_by(["a", "b"]).aggregate([])
 
     return step

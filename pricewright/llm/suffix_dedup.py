@@ -184,6 +184,7 @@ def _replies(width: int):
         _, twice, _ = _met(akey[row], full, known)
         hit = twice & ~known
         found = [(rows[r]["k1"], rows[r]["k2"], rows[r]["start"] + lo, rows[r]["start"] + hi + width) for r, lo, hi in _reach(row[hit], at[hit])]
+        trim()
         names = ["k1", "k2", "lo", "hi"]
         new = pa.table([pa.array([x[i] for x in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=names)
         return pa.concat_tables([told.cast(new.schema), new])

@@ -157,7 +157,7 @@ def counted(docs: DataFrame, ranks: dict[bytes, int], edits=sample_edits, patter
     ``n_reencoded``: pre-tokens looked at again for all edits. A null text counts as empty, and its edits
     are made as those of an empty one. Columns of these names are replaced.
     """
-    bounded_batches(docs.sparkSession, 500)
+    bounded_batches(docs.sparkSession)
     base = without(docs, "n_tokens", "n_tokens_edited", "n_pretokens", "n_reencoded")
     names = [*base.columns, "n_tokens", "n_tokens_edited", "n_pretokens", "n_reencoded"]
     at = names.index(text)
