@@ -1,7 +1,7 @@
 """Licence scans by sentence rules, in DataFrame operations only.
 
-A text's sentences are normalised and looked up among sentences known from licences; the text
-becomes the sequence of their identifiers. Ordered rules, the most specific first, then turn
+A text is normalised and sentences known from licences are found in it, whatever
+signs they have inside; the text becomes the sequence of their identifiers. Ordered rules, the most specific first, then turn
 stretches of that sequence into licence names; what a rule has matched no later rule sees. Each
 row is handled by itself: there is no shuffle, and no group to be skewed.
 """
@@ -109,30 +109,50 @@ def expanded_rules() -> list[tuple[str, str]]:
     return found
 
 
-def sentences(text: Column) -> Column:
-    """Sentences of ``text`` that may be of a licence: cut at line ends and after . ! ? or : before white space."""
-    cut = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"([.!?:;])[ \t\r]+", "$1\n"), "\n")
-    return F.filter(cut, lambda s: s.rlike(HINT))
+#: Marks in a normalised text: a line end, a sentence end, a blank line. What parts two words of one known sentence.
+_LINE, _END, _BLANK = "\n", "\x01", "\x02"
+_GAP = f"[ {_END}]++"
+
+
+def known_pattern() -> str:
+    """A known sentence in a normalised text: from a line's or sentence's begin to such an end, over signs within."""
+    words = sorted(known_sentences(), key=lambda s: (-len(s), s))
+    edge = f"[{_LINE}{_END}{_BLANK}]"
+    return f"(?<=^|^ |{edge}|{edge} )(?:{'|'.join(_GAP.join(s.split()) for s in words)})(?= ?(?:{edge}|\\z))"
+
+
+def normalised(text: Column) -> Column:
+    """``text`` in lower case, its words parted by blanks or marks; comment signs before a line vanish, lines of nothing else are blank."""
+    plain = F.regexp_replace(F.lower(F.translate(text, _END + _BLANK, "  ")), r"\n[^a-z0-9\n]*+\n[^a-z0-9]*+", _BLANK)
+    plain = F.regexp_replace(plain, r"[.!?:;][ \t\r\n]", _END)
+    return F.regexp_replace(plain, f"[^a-z0-9{_LINE}{_END}{_BLANK}]+", " ")
 
 
 def licences(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``sentence_ids``, ``licences`` (both strings), ``n_unknown`` and ``status``.
 
     ``sentence_ids``: identifiers of the known sentences in order, parted by spaces. ``licences``: names
-    by the order of the rules, each once, parted by `` AND ``. ``n_unknown``: sentences that name a
-    licence, grant or disclaimer and are not known. ``status``: ``known`` if a rule matched, else ``unknown`` if
+    by the order of the rules, each once, parted by `` AND ``. A known sentence may have signs
+    that end sentences inside; a line end ends it. ``n_unknown``: what is left and names a licence, grant
+    or disclaimer, counted by lines and by sentence ends within them. ``status``: ``known`` if a rule matched, else ``unknown`` if
     there are such sentences or unmatched identifiers, else ``none``. A null or empty text has none.
     Columns of these names are replaced; no other column but the text is looked at.
     """
     base = without(docs, "sentence_ids", "licences", "n_unknown", "status")
     known = F.create_map(*[F.lit(x) for pair in sorted(known_sentences().items()) for x in pair])
-    plain = F.transform(sentences(F.col(f"`{text}`")), lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    looked = F.transform(plain, lambda s: F.coalesce(F.element_at(known, s), F.lit("?")))
     # texts without a hint need no splitting at all
-    ids = F.when(F.col(f"`{text}`").rlike(HINT), looked).otherwise(F.array().cast("array<string>"))
-    found = base.withColumn("ids_", ids)
-    named = F.filter("ids_", lambda x: x != "?")
-    found = found.withColumn("sentence_ids", F.array_join(named, " ")).withColumn("n_unknown", (F.size("ids_") - F.size(named)).cast("long"))
+    hint = F.col(f"`{text}`").rlike(HINT.replace(" ", "[^a-z0-9]+"))
+    pattern = known_pattern()
+
+    def taken(plain: Column) -> Column:
+        hits = F.transform(F.regexp_extract_all(plain, F.lit(pattern), F.lit(0)), lambda s: F.element_at(known, F.regexp_replace(s, _GAP, " ")))
+        rest = F.split(F.regexp_replace(plain, pattern, _BLANK), f"[{_LINE}{_END}{_BLANK}]")
+        return F.struct(F.array_join(hits, " ").alias("ids"), F.size(F.filter(rest, lambda s: s.rlike(HINT))).cast("long").alias("n"))
+
+    # the normalised text is named once, so that it is not computed again for each use
+    one = F.element_at(F.transform(F.array(normalised(F.col(f"`{text}`"))), taken), 1)
+    found = base.withColumn("ids_", F.when(hint, one))
+    found = found.withColumn("sentence_ids", F.coalesce("ids_.ids", F.lit(""))).withColumn("n_unknown", F.coalesce("ids_.n", F.lit(0).cast("long")))
     rules = F.array(*[F.struct(F.lit(f" {'  '.join(p.split())} ").alias("p"), F.lit(n).alias("n")) for p, n in expanded_rules()])
     start = F.struct(F.concat(F.lit(" "), F.replace(F.col("sentence_ids"), F.lit(" "), F.lit("  ")), F.lit(" ")).alias("rest"), F.array().cast("array<string>").alias("names"))
 

@@ -318,3 +318,17 @@ def test_licences_match_sql(spark, docs):
     assert by[1000].licences == "MIT" and by[1001].licences == "MIT AND CC-BY-NC-4.0" and by[1002].licences == "GPL-3.0-only"
     assert by[1004].status == "unknown" and by[1005].licences == by[1006].licences == "Apache-2.0" and by[0].status == "none"
     assert L.licences(table.limit(0)).count() == 0
+
+
+def versions_of(text):
+    mark = next((m for m in L._VERSIONS if m in text), None)
+    return [text.replace(mark, v) for v in L._VERSIONS[mark]] if mark else [text]
+
+
+def test_every_known_sentence_and_rule_is_found_in_its_own_text(spark):
+    ids = {v: L.known_sentences()[L.normal(v)] for _, t in L.SENTENCES for v in versions_of(t)}
+    text_of = {i: t for t, i in ids.items()}
+    rows = [(t, i, None) for t, i in ids.items()] + [("\n".join(text_of[i] for i in p.split()), p, n) for p, n in L.expanded_rules()]
+    got = L.licences(spark.createDataFrame(rows, "text string, want string, name string")).collect()
+    assert [(r.text, r.sentence_ids) for r in got if r.sentence_ids != r.want or r.n_unknown] == []
+    assert [(r.text, r.licences) for r in got if r.name and (r.licences, r.status) != (r.name, "known")] == []
