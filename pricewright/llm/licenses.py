@@ -1,7 +1,7 @@
 """Licence scans by sentence rules, in DataFrame operations only.
 
-A text is normalised and sentences known from licences are found in it, whatever
-signs they have inside; the text becomes the sequence of their identifiers. Ordered rules, the most specific first, then turn
+A text is normalised and sentences known from licences are found in it, whether they stand on one
+line or wrap over several, and whatever signs they have inside; the text becomes the sequence of their identifiers. Ordered rules, the most specific first, then turn
 stretches of that sequence into licence names; what a rule has matched no later rule sees. Each
 row is handled by itself: there is no shuffle, and no group to be skewed.
 """
@@ -111,11 +111,11 @@ def expanded_rules() -> list[tuple[str, str]]:
 
 #: Marks in a normalised text: a line end, a sentence end, a blank line. What parts two words of one known sentence.
 _LINE, _END, _BLANK = "\n", "\x01", "\x02"
-_GAP = f"[ {_END}]++"
+_GAP = f"[ {_LINE}{_END}]++"
 
 
 def known_pattern() -> str:
-    """A known sentence in a normalised text: from a line's or sentence's begin to such an end, over signs within."""
+    """A known sentence in a normalised text: from a line's or sentence's begin to such an end, over line ends and signs within."""
     words = sorted(known_sentences(), key=lambda s: (-len(s), s))
     edge = f"[{_LINE}{_END}{_BLANK}]"
     return f"(?<=^|^ |{edge}|{edge} )(?:{'|'.join(_GAP.join(s.split()) for s in words)})(?= ?(?:{edge}|\\z))"
@@ -132,8 +132,8 @@ def licences(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``sentence_ids``, ``licences`` (both strings), ``n_unknown`` and ``status``.
 
     ``sentence_ids``: identifiers of the known sentences in order, parted by spaces. ``licences``: names
-    by the order of the rules, each once, parted by `` AND ``. A known sentence may have signs
-    that end sentences inside; a line end ends it. ``n_unknown``: what is left and names a licence, grant
+    by the order of the rules, each once, parted by `` AND ``. A known sentence may wrap over lines, with
+    comment signs before each; a blank line ends it. ``n_unknown``: what is left and names a licence, grant
     or disclaimer, counted by lines and by sentence ends within them. ``status``: ``known`` if a rule matched, else ``unknown`` if
     there are such sentences or unmatched identifiers, else ``none``. A null or empty text has none.
     Columns of these names are replaced; no other column but the text is looked at.

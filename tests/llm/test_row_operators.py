@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import textwrap
 from collections import Counter
 
 import duckdb
@@ -332,3 +333,22 @@ def test_every_known_sentence_and_rule_is_found_in_its_own_text(spark):
     got = L.licences(spark.createDataFrame(rows, "text string, want string, name string")).collect()
     assert [(r.text, r.sentence_ids) for r in got if r.sentence_ids != r.want or r.n_unknown] == []
     assert [(r.text, r.licences) for r in got if r.name and (r.licences, r.status) != (r.name, "known")] == []
+
+
+@pytest.mark.parametrize("begin", ["", "# ", " * ", "// ", ";; "])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_wrapped_licences_are_found(spark, begin, end):
+    of = lambda *names: [versions_of(next(t for n, t in L.SENTENCES if n == name))[-1] for name in names]
+    texts = {
+        "MIT": [of("MitGrant"), of("MitNotice"), of("AsIsCaps", "MitLiability")],
+        "Apache-2.0": [of("ApacheGrant2", "ApacheObtain"), ["http://www.apache.org/licenses/LICENSE-2.0"], of("ApacheAsIs", "ApacheSee")],
+        "GPL-3.0-or-later": [of("GplFree"), of("GplHope", "GplSee"), of("GplCopy")],
+        "BSD-3-Clause": [of("BsdGrant"), ["1. " + of("BsdSource")[0]], ["2. " + of("BsdBinary")[0]], ["3. " + of("BsdEndorse")[0]]],
+        "MPL-2.0": [of("MplRef2")],
+    }
+    wrapped = lambda paragraphs: f"{end}{begin.rstrip()}{end}".join(end.join(begin + x for x in textwrap.wrap(" ".join(p), 72)) for p in paragraphs)
+    rows = [(n, f"#!/bin/sh{end}{begin.rstrip()}{end}{wrapped(p)}{end}{end}import x{end}") for n, p in texts.items()]
+    rows += [("", f"{begin}Permission is hereby granted, free of charge, to any{end}{end}{begin}person"), ("MIT", f"{begin}SPDX-License-Identifier: MIT{end}import x"), ("MIT AND Proprietary", f"{begin}All rights reserved{end}{begin}Released under the MIT License{end}{begin}more")]
+    got = L.licences(spark.createDataFrame(rows, "want string, text string")).collect()
+    assert [(r.want, r.licences, r.sentence_ids) for r in got if r.want != r.licences] == []
+    assert {r.n_unknown for r in got if r.want in ("MIT", "GPL-3.0-or-later", "BSD-3-Clause", "MPL-2.0")} == {0}
