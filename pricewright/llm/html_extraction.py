@@ -4,9 +4,13 @@ Each DOM node has a density: its characters per tag, adjusted for the share of c
 that belong to links. A node's density sum adds up its children's; the node of the greatest sum is
 the heart of the page. The least density on the path from it to the body is the page's threshold:
 outside the heart, what is as dense is content too. Elements that say they are no part of an
-article (menus, forms, scripts, adverts, comments, ...) are left out before anything is counted,
-and where a page has ``article`` or ``main`` elements, the one around the heart is taken whole, else
-those in it.
+article (menus, forms, scripts, adverts, comments, ...) are left out before anything is counted.
+
+``article`` and ``main`` widen or narrow that choice. A heart within an article gives the whole article; one
+within ``main`` gives ``main`` less what lies beside the heart, is less dense than the threshold and mostly
+links. A heart that holds articles gives them alone if they have half of its text without links, or the
+one with the page's only ``h1``; else the heart stays. Articles less dense than the threshold are left out
+of a heart or ``main`` of which articles have less than half of the text.
 """
 
 from __future__ import annotations
@@ -170,6 +174,42 @@ def _within(node: Node, above: Node) -> bool:
     return node is above
 
 
+def _outermost(frame: Node) -> list[Node]:
+    """The articles and mains in ``frame`` that are in no other in it, in page order."""
+    found, todo = [], [frame]
+    while todo:
+        node = todo.pop()
+        if node is not frame and node.tag in ("article", "main"):
+            found.append(node)
+        else:
+            todo.extend(x for x in reversed(node.children) if isinstance(x, Node) and not x.out and x.chars)
+    return found
+
+
+def _selection(order: list[Node], path: list[Node], threshold: float) -> tuple[set[int], set[int]]:
+    """What is taken, and what of it is passed over; ``path`` leads from the heart to the root."""
+    heart, above = path[0], {id(n) for n in path}
+    articles, mains = [n for n in path if n.tag == "article"], [n for n in path if n.tag == "main"]
+    if articles:
+        return {id(articles[-1])}, set()
+    thin = [n for n in order if id(n) not in above and n.density < threshold]
+    frame = mains[-1] if mains else heart
+    outer = _outermost(frame)
+    most = bool(outer) and 2 * sum(n.chars - n.link_chars for n in outer) >= frame.chars - frame.link_chars
+    cards = set() if most else {id(n) for n in thin if n.tag == "article"}
+    if mains:
+        beside = {id(n) for n in _nodes(frame)} - {id(n) for n in _nodes(heart)}
+        return {id(frame)}, cards | {id(n) for n in thin if 2 * n.link_chars > n.chars and id(n) in beside}
+    if most:  # the heart is no more than their frame
+        return {id(n) for n in outer}, set()
+    titles = [n for n in order if n.tag == "h1" and n.chars]
+    titled = [n for n in outer if len(titles) == 1 and _within(titles[0], n)]
+    if titled:  # the page's one title says which is its article
+        return {id(titled[0])}, set()
+    dense = {id(n) for n in order if id(n) not in above and n.density >= threshold and n.chars > 0}
+    return {id(heart)} | dense, cards
+
+
 def extract(page: str | None) -> str:
     """The main text of a page: blocks in page order, one to a line; empty if there is none."""
     root = parse(page or "")
@@ -182,20 +222,9 @@ def extract(page: str | None) -> str:
     path = [heart]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
-    landmarks = [n for n in path if n.tag == "article"] or [n for n in path if n.tag == "main"]
-    named = [n for n in order if n.tag in ("article", "main") and n.chars]
-    chosen: set[int] = set()
-    if landmarks:
-        chosen.add(id(landmarks[-1]))
-    elif named:  # the heart holds the article, or is no part of it
-        around = {id(n) for n in named if _within(n, heart)}
-        chosen = around or {id(max(named, key=lambda n: (n.total, n.chars)))}
-    else:
-        body = next((i for i, n in enumerate(path) if n.tag == "body"), len(path) - 1)
-        threshold = min(n.density for n in path[: body + 1])
-        above = {id(n) for n in path}
-        chosen.add(id(heart))
-        chosen.update(id(n) for n in order if id(n) not in above and n.density >= threshold and n.chars > 0)
+    body = next((i for i, n in enumerate(path) if n.tag == "body"), len(path) - 1)
+    threshold = min(n.density for n in path[: body + 1])
+    chosen, passed = _selection(order, path, threshold)
     blocks: list[str] = []
     piece: list[str] = []
 
@@ -214,7 +243,7 @@ def extract(page: str | None) -> str:
             if inside:
                 piece.append(entities.unescape(x) if "&" in x else x)
         elif not x.out:
-            inside = inside or id(x) in chosen
+            inside = (inside or id(x) in chosen) and id(x) not in passed
             if x.tag == "br":
                 piece.append(" ")
             if x.tag in BLOCK:

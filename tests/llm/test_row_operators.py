@@ -306,6 +306,29 @@ def test_extraction_over_tables(spark):
     assert out.columns == ["page_id", "url", "text", "n_chars"] and out.filter("n_chars = 0").count() == 0
 
 
+BODY = "<p>" + "Many plain words of the main text, one after the other, in a long paragraph of its own. " * 4 + "</p>"
+TEASER = '<article class="card"><h3><a href="/x">A card</a></h3><p>Short teaser.</p></article>'
+
+
+@pytest.mark.parametrize("n", [1, 2, 5])
+@pytest.mark.parametrize("frame", ["<body><div class='content'>{}</div>{}", "<body><div id='page'><div class='content'>{}</div><div class='cards'>{}</div></div>", "<body><div class='content'>{}{}</div>", "<body><main><div class='content'>{}</div>{}</main>"])
+@pytest.mark.parametrize("cards", [1, 3])
+def test_text_beside_teaser_articles_is_kept(n, frame, cards):
+    got = H.extract(frame.format(BODY * n, TEASER * cards))
+    assert got.count("Many plain words") == 4 * n and "teaser" not in got
+
+
+def test_main_leaves_out_link_lists_and_keeps_short_text():
+    links = "<ul>" + "<li><a href='/a'>other page</a></li>" * 20 + "</ul>"
+    got = H.extract(f"<body><main><h1>Title</h1><div>{BODY * 4}</div><p>The end.</p><div>{links}</div></main>")
+    assert got.startswith("Title\n") and got.endswith("The end.") and "other page" not in got
+
+
+def test_articles_in_a_frame_are_all_kept():
+    got = H.extract("<body><div>A word before.<article>{0}</article><article>{0}</article></div>".format(BODY))
+    assert got.count("Many plain words") == 8 and "before" not in got
+
+
 # licences
 
 
