@@ -4,7 +4,8 @@ Each DOM node has a density: its characters per tag, adjusted for the share of c
 that belong to links. A node's density sum adds up its children's; the node of the greatest sum is
 the heart of the page. The least density on the path from it to the body is the page's threshold:
 outside the heart, what is as dense is content too. Elements that say they are no part of an
-article (menus, forms, scripts, adverts, comments, ...) are left out before anything is counted.
+article (menus, forms, scripts, hidden ones, ...) are left out before anything is counted; a class or id
+that names an advert, comments and the like counts only if links or thin text agree (``settle``).
 
 ``article`` and ``main`` widen or narrow that choice. A heart within an article gives the whole article; one
 within ``main`` gives ``main`` less what lies beside the heart, is less dense than the threshold and mostly
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, read, trim, without
 
 #: Kinds of elements, and words in class names and ids.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 LEFT_OUT = frozenset("head script style noscript template nav footer aside form button select option textarea input label iframe svg canvas object embed dialog menu title audio video map datalist".split())
@@ -39,44 +41,55 @@ IMPLIED = {
 }
 NOISE = frozenset("ad ads adbox adslot banner promo promotion promotions nav navbar navigation menu breadcrumb breadcrumbs sidebar footer header masthead consent notice notices gdpr popup modal overlay disqus respond reply replies responses related recommended recommendations share sharing social newsletter subscribe subscription signup login search widget widgets pagination pager toolbar skip alert toast".split())
 NOISE_BEGINS = ("advert", "sponsor", "cookie", "comment", "discussion")
+#: Names of what readers write; it may be most of a page and have articles of its own.
+REPLIES = ("comment", "discussion", "disqus", "repl", "respond")
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 _TAG = re.compile(r"""<!--(?:.*?-->|.*)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>""", re.DOTALL)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _PART = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "out", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "out", "name", "in_article", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: "Node | None", out: bool):
+    def __init__(self, tag: str, parent: "Node | None", out: bool, name: str = "", in_article: bool = False):
         self.tag, self.parent, self.out = tag, parent, out
+        self.name, self.in_article = name, in_article  # the word of its class or id that speaks against it
         self.children: list = []  # nodes and strings
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _noisy(tag: str, attributes: str, in_article: bool) -> bool:
+def _noisy(tag: str, attributes: str, in_article: bool) -> tuple[bool, str]:
+    """Whether an element says itself that it is left out, else the word of its class or id that hints at it."""
     if tag in LEFT_OUT:
-        return True
+        return True, ""
     if tag == "header":
-        return not in_article
+        return not in_article, ""
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return False, ""
+    hint = ""
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, ""
         if name == "role" and value.lower() in NOISE_ROLES:
-            return True
-        if name in ("class", "id"):
-            for one in value.split():
-                parts = [p.lower() for p in _PART.split(one) if p]
-                if not parts or parts[0] in ("has", "with", "no", "without", "is"):
-                    continue
-                for p in (parts[0], parts[-1]):
-                    if p.startswith(NOISE_BEGINS) or (p in NOISE and not (p == "header" and in_article)):
-                        return True
-    return False
+            return True, ""
+        # ids of headings and within an article are made from titles
+        if not hint and (name == "class" or (name == "id" and not in_article and tag not in HEADINGS)):
+            hint = _hint(value, in_article)
+    return False, hint
+
+
+def _hint(value: str, in_article: bool) -> str:
+    for one in value.split():
+        parts = [p.lower() for p in _PART.split(one) if p]
+        if not parts or parts[0] in ("has", "with", "no", "without", "is"):
+            continue
+        for p in (parts[0], parts[-1]):
+            if p.startswith(NOISE_BEGINS) or (p in NOISE and not (p == "header" and in_article)):
+                return p
+    return ""
 
 
 def parse(page: str) -> Node:
@@ -112,7 +125,9 @@ def parse(page: str) -> Node:
         if name in IMPLIED:
             _end(stack, names, *IMPLIED[name])
         parent = stack[-1]
-        node = Node(name, parent, parent.out or _noisy(name, rest, "article" in names or "main" in names))
+        in_article = "article" in names or "main" in names
+        out, hint = _noisy(name, rest, in_article)
+        node = Node(name, parent, parent.out or out, hint, in_article)
         parent.children.append(node)
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
@@ -149,6 +164,7 @@ def measure(root: Node) -> list[Node]:
     """Counts, densities and density sums of all nodes not left out, parents before children."""
     order = _nodes(root)
     for node in reversed(order):
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
         for x in node.children:
             if isinstance(x, str):
                 node.chars += len("".join(x.split())) if "&" not in x else len("".join(entities.unescape(x).split()))
@@ -174,6 +190,60 @@ def _within(node: Node, above: Node) -> bool:
     return node is above
 
 
+def _path(order: list[Node]) -> list[Node]:
+    """The nodes from the heart of a measured page to its root."""
+    heart = max(order, key=lambda n: n.total)  # of equal sums the first in the page's order
+    if not heart.total:
+        heart = max(order, key=lambda n: n.density)
+    path = [heart]
+    while path[-1].parent is not None:
+        path.append(path[-1].parent)
+    return path
+
+
+def _to_body(path: list[Node]) -> list[Node]:
+    return path[: next((i for i, n in enumerate(path) if n.tag == "body"), len(path) - 1) + 1]
+
+
+def settle(root: Node) -> tuple[list[Node], list[Node]]:
+    """The measured page and the path from its heart, less the elements whose name and text both speak against them.
+
+    A name counts if a third of the text is in links or if it has few characters a tag: within the heart or an
+    article, less than half of the least on the path from the heart to the body; elsewhere, less than the heart.
+    It does not count where half of the page's text and its title, ``main`` or an article are in the element.
+    """
+    order = measure(root)
+    named = [n for n in order if n.name]
+    if not named or not root.chars:
+        return order, _path(order)
+    titled, framing = set(), set()
+    for n in reversed(order):
+        if (n.tag in ("h1", "main") and n.chars) or id(n) in titled:
+            titled.add(id(n.parent))
+        if (n.tag == "article" and n.chars) or id(n) in framing:
+            framing.add(id(n.parent))
+    whole = root.chars - root.link_chars
+    facts = []  # of each element as it stands: whether it has few links, and its plain characters a tag
+    for n in named:
+        plain = n.chars - n.link_chars
+        frame = 2 * plain >= whole and (id(n) in titled or (id(n) in framing and not n.name.startswith(REPLIES)))
+        if not frame:
+            n.out = True
+            facts.append((n, 3 * n.link_chars < n.chars, plain / (n.tags + 1)))
+    order = measure(root)
+    if 10 * (root.chars - root.link_chars) < whole:  # nearly all is so named: the names say nothing
+        for n, few, _ in facts:
+            n.out = not few
+        order = measure(root)
+    path = _path(order)
+    heart, ratio = path[0], lambda n: (n.chars - n.link_chars) / (n.tags + 1)
+    inner, outer = min(map(ratio, _to_body(path))) / 2, ratio(heart)
+    back = [n for n, few, r in facts if n.out and few and r >= (inner if n.in_article or _within(n, heart) else outer)]
+    for n in back:
+        n.out = False
+    return (measure(root) if back else order), path
+
+
 def _outermost(frame: Node) -> list[Node]:
     """The articles and mains in ``frame`` that are in no other in it, in page order."""
     found, todo = [], [frame]
@@ -213,17 +283,10 @@ def _selection(order: list[Node], path: list[Node], threshold: float) -> tuple[s
 def extract(page: str | None) -> str:
     """The main text of a page: blocks in page order, one to a line; empty if there is none."""
     root = parse(page or "")
-    order = measure(root)
+    order, path = settle(root)
     if not root.chars:
         return ""
-    heart = max(order, key=lambda n: n.total)  # of equal sums the first in the page's order
-    if not heart.total:
-        heart = max(order, key=lambda n: n.density)
-    path = [heart]
-    while path[-1].parent is not None:
-        path.append(path[-1].parent)
-    body = next((i for i, n in enumerate(path) if n.tag == "body"), len(path) - 1)
-    threshold = min(n.density for n in path[: body + 1])
+    threshold = min(n.density for n in _to_body(path))
     chosen, passed = _selection(order, path, threshold)
     blocks: list[str] = []
     piece: list[str] = []

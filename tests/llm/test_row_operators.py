@@ -329,6 +329,25 @@ def test_articles_in_a_frame_are_all_kept():
     assert got.count("Many plain words") == 8 and "before" not in got
 
 
+@pytest.mark.parametrize("wrap", ['<div style="overflow:hidden">{}</div>', '<div title="The hidden city">{}</div>', "<div data-x='a hidden=1' data-hidden>{}</div>", '<section id="search-for-meaning">{}</section>', '<section id="related-work"><h2 id="job-search">A heading here</h2>{}</section>', '<div id="commentary">{}</div>', '<div class="content-with-sidebar">{}</div>', '<section class="related-work">{}</section>', '<section class="commentary">{}</section>'])
+@pytest.mark.parametrize("page", ["<body><nav>home</nav><article><h1>Title</h1>{0}{1}</article>", "<body><nav>home</nav><article><h1>Title</h1>{1}</article>", "<body><nav>home</nav><div><h1>Title</h1>{1}</div>", "<body><div>Site of ours</div>{1}"])
+def test_names_alone_leave_nothing_out(wrap, page):
+    got = H.extract(page.format(BODY, wrap.format(BODY * 2)))
+    assert got.count("Many plain words") == 4 * page.count("{0}") + 8 and ("A heading here" in got) == ("A heading here" in wrap)
+
+
+@pytest.mark.parametrize("noise", ["<div hidden>{}</div>", "<div HIDDEN=''>{}</div>", "<div aria-hidden='true'>{}</div>", "<div role=search>{}</div>", "<div class='related-posts'><a href='/x'>{}</a></div>", "<div class=ad>buy</div>", "<p class='share-buttons'>Share</p>"])
+@pytest.mark.parametrize("page", ["<body><article><h1>Title</h1>{0}{1}</article>", "<body><div><h1>Title</h1>{0}{1}</div>"])
+def test_noise_that_text_or_attribute_confirms_is_left_out(noise, page):
+    assert H.extract(page.format(BODY, noise.format("Nothing of the article"))) == H.extract(page.format(BODY, ""))
+
+
+def test_many_comments_are_no_article():
+    comment = "<div class='comment'><article><b>me</b><p>A short remark of a reader.</p></article></div>"
+    got = H.extract(f"<body><div><h1>Title</h1>{BODY * 2}</div><section class='comments'>{comment * 40}</section>")
+    assert got.count("Many plain words") == 8 and "remark" not in got
+
+
 # licences
 
 
