@@ -16,27 +16,38 @@ from pyspark.sql import functions as F
 from .common import read, small, text_keys, without
 
 
-def shingles(text: Column, words: int) -> Column:
+def shingles(text: Column, words: int, also: tuple[int, ...] = ()) -> Column:
     """Array of distinct shingle hashes; words are runs of letters and digits, lower-cased.
 
-    A text of fewer words gives its whole sequence as one shingle, a text without words none.
+    A text of fewer words gives its whole sequence as one shingle, a text without words none. ``also``:
+    shorter lengths whose shingles are added; a hash tells shingles of different lengths apart.
     """
-    found = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    found = word_list(text)
     hashed = F.transform(found, lambda w: F.xxhash64(w))
 
+    def runs(h: Column, n: int) -> Column:
+        # the hash of fewer words has nulls for those it lacks
+        lacks = [F.lit(None).cast("long")] * (words - n)
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.size(h) - n, F.lit(0))), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(n)], *lacks, F.least(F.size(h), F.lit(n))))
+
     def windows(h: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.greatest(F.size(h) - words, F.lit(0))), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(words)], F.least(F.size(h), F.lit(words))))
+        return F.concat(runs(h, words), *[runs(h, n) for n in also]) if also else runs(h, words)
 
     # the array is named once, so that it is not computed again for each use
     named = F.transform(F.array(hashed), windows)
     return F.when(F.size(found) > 0, F.array_distinct(F.element_at(named, 1))).otherwise(F.array().cast("array<bigint>"))
 
 
+def word_list(text: Column) -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
 def contaminated(docs: DataFrame, items: DataFrame, words: int = 5, percent: int = 80, doc_text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(k1, k2, item_id, n_shared, n_item, containment) of every text that holds ``percent`` of an item's shingles.
 
     ``k1, k2`` name a text (``common.text_keys``), so copies are judged once per task at most and rows
-    may repeat. Null and blank texts and items match nothing; items with equal texts are each
+    may repeat. An item of fewer than ``words`` words is one shingle, found wherever a text has those words in
+    a row. Null and blank texts and items match nothing; items with equal texts are each
     reported; a null item_id is reported as null. Other columns of either table are not looked at.
     """
     size = F.size("s")
@@ -48,7 +59,10 @@ def contaminated(docs: DataFrame, items: DataFrame, words: int = 5, percent: int
     # each shingle of an item, and whether it belongs to the item's sketch
     index = small(sketched.select("item_id", "n_item", "bound", F.explode("s").alias("h")).select("h", "item_id", "n_item", (F.col("h") <= F.col("bound")).alias("sketch")))
     k1, k2 = text_keys(F.col(f"`{doc_text}`"))
-    exploded = docs.select(k1.alias("k1"), k2.alias("k2"), F.explode(shingles(F.col(f"`{doc_text}`"), words)).alias("h"))
+    # shorter shingles only of lengths that some item has
+    lengths = items.select(F.size(word_list(F.col(item_text))).alias("n")).filter(f"n between 1 and {words - 1}").distinct()
+    also = tuple(sorted(r.n for r in lengths.collect()))
+    exploded = docs.select(k1.alias("k1"), k2.alias("k2"), F.explode(shingles(F.col(f"`{doc_text}`"), words, also)).alias("h"))
     met = exploded.join(index, "h")
     # one row for each shingle that text and item share, copies of a text folded together
     shared = met.groupBy("k1", "k2", "item_id", "n_item", "h").agg(F.first("sketch").alias("sketch"))

@@ -277,6 +277,21 @@ def test_sketch_loses_no_item(spark):
     assert got and same(got, oracle(D.OP7_SQL, documents=docs, benchmark=items))
 
 
+def test_short_items_are_found_in_long_documents(spark):
+    items = [(1, "What is 2 + 2?"), (2, "alpha beta"), (3, "Omega!"), (4, prose(9, 20)), (5, "x y z"), (6, "one two three four")]
+    long = prose(3, 60)
+    docs = [(1, f"{long} what IS 2 2 {long}"), (2, f"alpha {long} beta"), (3, f"alpha, BETA {long} omega"), (4, f"{long} {prose(9, 20)}"), (5, "x y z"), (6, "x y"), (7, "w x y z"), (8, "one two three"), (9, "two three four one two three four five six"), (10, None), (11, "omega")]
+    of = lambda t: [w.lower() for w in re.findall(r"[^\W_]+", t or "")]
+    has = lambda d, w: any(d[i : i + len(w)] == w for i in range(len(d) - len(w) + 1))
+    want = sorted((d, i) for d, t in docs for i, x in items if has(of(t), of(x)))
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    k1, k2 = D.text_keys(F.col("text"))
+    got = docs.select("doc_id", k1.alias("k1"), k2.alias("k2")).join(D.contaminated(docs, items), ["k1", "k2"]).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == want and len(want) == 8
+    assert all(r.n_shared == r.n_item == r.containment == 1 for r in got if r.item_id != 4)
+    assert sorted(r.doc_id for r in D.decontaminated(docs, items).collect()) == [2, 6, 8, 10]
+
+
 # html extraction
 
 
