@@ -6,6 +6,9 @@ of them are missing, so one of the item's ``q - ceil(t q) + 1`` least-hashed shi
 Items are partitioned by size, and each size class has the k that loses none of its items; no share
 of long documents is lost, as with signatures of one length for both sides. Candidates are then
 verified by counting the item's shingles that the document has, exactly.
+
+Here one join does both: all shingles of documents meet all shingles of items, so the exact counts find
+the rows. By the bound above every row that passes has a sketch shingle too; the sketch prunes nothing.
 """
 
 from __future__ import annotations
