@@ -5,7 +5,11 @@ from __future__ import annotations
 import ctypes
 import gc
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,20 +18,26 @@ BROADCAST_ROWS = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own if unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    return path.rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Only in local mode, where all run on one machine, may it be unset; then one of our own is taken.
+    """
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (path or "/tmp/checkpoints").rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` cut from its lineage by a Parquet table in the shared folder; finished shuffles are let go.
+def written(df: DataFrame, name: str, large: bool = False) -> DataFrame:
+    """``df`` cut from its lineage by a Parquet table in the shared folder; after a large one finished shuffles are let go.
 
     Executors may be lost at any time after this: the table is read again, nothing is recomputed.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    release(spark)
+    if large:
+        release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -43,8 +53,8 @@ class Scratch:
     def __enter__(self) -> Scratch:
         return self
 
-    def written(self, df: DataFrame, name: str) -> DataFrame:
-        out = written(df, name)
+    def written(self, df: DataFrame, name: str, large: bool = False) -> DataFrame:
+        out = written(df, name, large)
         self.paths += [f.rpartition("/")[0] for f in out.inputFiles()[:1]]
         return out
 
@@ -73,16 +83,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def bounded_batches(spark: SparkSession, rows: int = 256, size: str = "8m") -> None:
-    """Hand texts to Python in small Arrow batches, bounded by rows and bytes: long texts come a few at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+def sliced(batches: Iterator[pa.RecordBatch], column: int | str, rows: int = 256, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """``batches`` in slices of at most ``rows`` rows and about ``size`` bytes of text: long texts come a few at a time."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo, before = 0, 0
+        while lo < batch.num_rows:
+            hi = max(lo + 1, min(lo + rows, int(np.searchsorted(ends, before + size, "right"))))
+            yield batch.slice(lo, hi - lo)
+            lo, before = hi, int(ends[hi - 1])
 
 
 def trim() -> None:
     """In a Python worker, give freed memory back: idle workers of earlier stages share the executor's limit."""
-    import pyarrow as pa
-
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -96,6 +109,22 @@ def text_keys(text: Column) -> tuple[Column, Column]:
     return F.xxhash64(text), F.xxhash64(F.lit(7), text)
 
 
+def private(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``df`` has, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever signs their names hold."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` less the columns whose names, in any case, an operator is about to add."""
     taken = {n.lower() for n in names}
@@ -109,3 +138,9 @@ def partitions(spark: SparkSession) -> int:
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has been counted to be small, else as it is (a shuffled join)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def bounded_batches(spark: SparkSession, rows: int = 256, size: str = "8m") -> None:
+    """Hand texts to Python in small Arrow batches, bounded by rows and bytes: long texts come a few at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

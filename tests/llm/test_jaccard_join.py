@@ -33,6 +33,16 @@ def groups(texts, n, percent):
     return [find(i) for i in range(len(s))], [len(x) for x in s]
 
 
+def links(texts, n, percent):
+    s = sets(texts, n)
+    found = [0] * len(s)
+    for i, j in combinations(range(len(s)), 2):
+        if s[i] and s[j] and 100 * len(s[i] & s[j]) >= percent * len(s[i] | s[j]):
+            found[i] += 1
+            found[j] += 1
+    return found
+
+
 def family(seed, size, edits):
     """Near copies: the base with some words changed; at many edits only some pairs link."""
     import random
@@ -52,19 +62,44 @@ def test_components_match_brute_force(spark, words, percent):
     texts = [None, "", " \n", "one", "One", "a b", "a b c d", "A B C D", *family(1, 12, 2), *family(2, 25, 5), *(prose(i, 60) for i in range(10, 20))]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     want, size = groups(texts, words, percent)
-    got = {r.doc_id: r for r in J.component_ids(J.jaccard_components(docs, words, percent), "doc_id").collect()}
-    assert [got[i].n_shingles for i in range(len(texts))] == size
-    assert [got[i].component_id for i in range(len(texts))] == want
+    for count in (False, True):
+        got = {r.doc_id: r for r in J.component_ids(J.jaccard_components(docs, words, percent, count=count), "doc_id").collect()}
+        assert [got[i].n_shingles for i in range(len(texts))] == size
+        assert [got[i].component_id for i in range(len(texts))] == want
+    assert [got[i].n_links for i in range(len(texts))] == links(texts, words, percent)
 
 
 def test_small_tiles_and_heavy_tokens_change_nothing(spark, monkeypatch):
     texts = [*family(3, 40, 6), *(prose(i, 40) + " " + prose(99, 30) for i in range(30))]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     want, _ = groups(texts, 4, 85)
-    for name, value in (("TILE", 3), ("GROUP", 50), ("ROUNDS", 1), ("CROWDED", 0)):
+    for name, value in (("TILE", 3), ("TILE_ROWS", 8), ("TILE_TOKENS", 500), ("BANDED", 4), ("GROUP", 50), ("SUMMED", 1), ("ROUNDS", 1), ("CROWDED", 0)):
         monkeypatch.setattr(J, name, value)
-    got = {r.doc_id: r.component_id for r in J.component_ids(J.jaccard_components(docs, 4, 85), "doc_id").collect()}
-    assert [got[i] for i in range(len(texts))] == want
+    for count in (False, True):
+        got = {r.doc_id: r for r in J.component_ids(J.jaccard_components(docs, 4, 85, count=count), "doc_id").collect()}
+        assert [got[i].component_id for i in range(len(texts))] == want
+    assert [got[i].n_links for i in range(len(texts))] == links(texts, 4, 85)
+
+
+def test_no_rows_leave_a_task_for_a_pair(spark, monkeypatch):
+    """A family whose pairs all link: a tile tells a forest, at most one row for each of its documents, and their counts."""
+    texts = family(5, 60, 2)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    told = []
+    monkeypatch.setattr(J, "_stars", lambda placed, *_: (None, placed))
+
+    class Kept(J.Scratch):
+        def written(self, df, name, large=False):
+            out = super().written(df, name, large)
+            told.extend([(name, out.count(), out.select("tile", "id").distinct().count() if name == "open" else 0)] if name in ("open", "settled") else [])
+            return out
+
+    monkeypatch.setattr(J, "Scratch", Kept)
+    for count in (False, True):
+        told.clear()
+        J.jaccard_components(docs, 4, 85, count=count).collect()
+        (_, opened, entries), (_, settled, _) = told
+        assert opened == entries and settled < (1 + count) * opened
 
 
 def test_awkward_rows(spark, docs):
@@ -92,7 +127,10 @@ def test_one_of_each(spark, docs, no_docs):
 def test_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "a b c d e", 5, "x", 3)], "doc_id long, text string, Root int, k1 string, bits int")
     out = J.jaccard_components(docs)
-    assert out.columns == ["doc_id", "text", "bits", "n_shingles", "class_key", "root"] and out.first().bits == 3
+    assert out.columns == ["doc_id", "text", "k1", "bits", "n_shingles", "class_key", "root"]  # only what it adds is replaced
+    assert (out.first().k1, out.first().bits) == ("x", 3)
+    kept = J.one_of_each(docs, "doc_id")
+    assert kept.columns == docs.columns and kept.first() == docs.first()
 
 
 def test_signature_bounds_the_difference():
