@@ -138,9 +138,3 @@ def partitions(spark: SparkSession) -> int:
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has been counted to be small, else as it is (a shuffled join)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
-def bounded_batches(spark: SparkSession, rows: int = 256, size: str = "8m") -> None:
-    """Hand texts to Python in small Arrow batches, bounded by rows and bytes: long texts come a few at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

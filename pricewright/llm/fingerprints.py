@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import windows as W
-from .common import bounded_batches, partitions, read, trim
+from .common import partitions, read, sliced, trim
 
 #: Lengths in code points of a k-mer and its inner s-mers, and anchors of a fingerprint.
 K, S, ANCHORS = 12, 5, 64
@@ -104,7 +104,7 @@ def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     The last of a part is followed by a copy of the next part's first, marked as a halo.
     """
     held = None
-    for batch in batches:
+    for batch in sliced(batches, "text"):
         rows: list[tuple] = []
         parts, halos, ids = (batch.column(c).to_pylist() for c in ("part", "halo", "doc_id"))
         for part, halo, doc, x in zip(parts, halos, ids, batch.column("text")):
@@ -146,7 +146,6 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     range is sent to the range before it too.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     size, rows = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`"))), F.count("*")).first()
     if not rows:
         return spark.createDataFrame([], OUT)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, read, trim, without
+from .common import read, sliced, trim, without
 
 #: Kinds of elements, and words in class names and ids.
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -322,13 +322,12 @@ def extracted(pages: DataFrame, html: str = "html") -> DataFrame:
 
     Each row is judged by its own page alone; columns of these names are replaced, others stay.
     """
-    bounded_batches(pages.sparkSession)
     base = without(pages, "text", "n_chars")
     names = [*base.columns, "text", "n_chars"]
     at = names.index(html)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, at):
             texts = [extract(x.as_py()) for x in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=names)
         trim()

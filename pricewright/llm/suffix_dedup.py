@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import windows as W
-from .common import Scratch, bounded_batches, partitions, read, text_keys, trim, without, written
+from .common import Scratch, partitions, read, sliced, text_keys, trim, without, written
 from .shingles import word_spans, word_values
 
 #: Runs of one first digit whose windows stay together in pass 3; a larger group is split by window.
@@ -55,7 +55,7 @@ def _texts(column: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
 
 def _runs(unit: str, width: int, digit: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 2):
             columns: list[list[np.ndarray]] = [[], [], [], [], [], []]
             k1, k2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for i, text in enumerate(_texts(batch.column(2))):
@@ -121,7 +121,7 @@ def _windows(unit: str, width: int, buckets: int):
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs, values, size, before = [], [], 0, None
-        for batch in batches:
+        for batch in sliced(batches, "text"):
             lists = batch.column("runs").to_pylist()
             k1, k2 = batch.column("k1").to_pylist(), batch.column("k2").to_pylist()
             for i, text in enumerate(_texts(batch.column("text"))):
@@ -204,7 +204,6 @@ def repeated_spans(docs: DataFrame, width: int, unit: str = "bytes", text: str =
 
 def _repeated_spans(docs: DataFrame, width: int, unit: str, text: str, scratch: Scratch) -> DataFrame:
     spark = docs.sparkSession
-    bounded_batches(spark)
     digit = width // 2
     k1, k2 = text_keys(F.col(text))
     keyed = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(text).alias("text"))
@@ -232,7 +231,7 @@ def _repeated_spans(docs: DataFrame, width: int, unit: str, text: str, scratch:
 
 def _cut(unit: str, keep_text: bool, text_at: int, fields: list[pa.Field]):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, text_at):
             out: list[list] = [[], [], [], []]
             kept_texts = []
             spans = batch.column(batch.num_columns - 1)

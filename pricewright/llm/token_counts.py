@@ -18,7 +18,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, read, trim, without
+from .common import read, sliced, trim, without
 
 #: The public byte-level pattern: contractions, letters, numbers, other signs, white space.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -157,7 +157,6 @@ def counted(docs: DataFrame, ranks: dict[bytes, int], edits=sample_edits, patter
     ``n_reencoded``: pre-tokens looked at again for all edits. A null text counts as empty, and its edits
     are made as those of an empty one. Columns of these names are replaced.
     """
-    bounded_batches(docs.sparkSession)
     base = without(docs, "n_tokens", "n_tokens_edited", "n_pretokens", "n_reencoded")
     names = [*base.columns, "n_tokens", "n_tokens_edited", "n_pretokens", "n_reencoded"]
     at = names.index(text)
@@ -165,7 +164,7 @@ def counted(docs: DataFrame, ranks: dict[bytes, int], edits=sample_edits, patter
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(shared.value, pattern)
-        for batch in batches:
+        for batch in sliced(batches, at):
             out: list[list[int]] = [[], [], [], []]
             for x in batch.column(at):
                 whole = x.as_py() or ""

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, read, trim, without, written
+from .common import read, sliced, trim, without, written
 
 #: Identity terms by category; a term is swapped for the next one of its category.
 IDENTITY = (
@@ -58,7 +58,7 @@ class Model:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches, 0):
         own, twin = [], []
         for x in batch.column(0):
             words = words_of(x.as_py() or "")
@@ -116,7 +116,6 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = 20_000, voca
     usable row or just one class the model scores every text by the base rate.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0)
     share = min(1.0, max_train_rows / max(1, known.count()))
     taken = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
@@ -149,7 +148,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     at = names.index(text)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, at):
             scores = [model.score(x.as_py()) for x in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], names=names)
         trim()
