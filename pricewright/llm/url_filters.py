@@ -4,7 +4,8 @@ The share of bad pages of a host is estimated by a chain of beta-binomial models
 suffix shrinks to that of all pages, a registered domain's to its suffix's, a host's to its
 domain's. How strongly a level shrinks (the prior's weight, in pages) is estimated by the method of
 moments from the spread of that level's own rates. A host is blocked if the lower bound of its
-posterior is above ``threshold``: little evidence never blocks a host.
+posterior (by the normal approximation of the beta's quantile: mean less Z standard deviations) is
+above ``threshold``: little evidence never blocks a host.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, small, without
+from .common import columns, private, read, small, without, written
 
 #: (verdict, rule); a rule is a host, fitting its subdomains too, and the beginning of a path.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -30,7 +31,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 def longest_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """Text and verdict of the longest rule that fits, null if none does; of equal ones the first listed."""
     text, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for says, rule in sorted(rules, key=lambda r: len(r[1])):
+    for says, rule in sorted(reversed(rules), key=lambda r: len(r[1])):
         at = rule.index("/")
         fits = ((host == rule[:at]) | host.endswith("." + rule[:at])) & path.startswith(rule[at:])
         text, verdict = F.when(fits, rule).otherwise(text), F.when(fits, says).otherwise(verdict)
@@ -65,7 +66,8 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     Rows with a null outcome count as unlabelled; a host with no label has its domain's rate and the
     widest bound. One row per host: counts are added up before anything is shuffled by key.
     """
-    hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}).persist()
+    hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    hosts = written(hosts, "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     n, bad = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
@@ -84,16 +86,19 @@ def url_verdicts(pages: DataFrame, outcomes: DataFrame, rules=RULES, threshold:
 
     ``outcomes`` (page_id, bad 0/1) labels some pages; a page may have none, or several that count
     each. A null url and one without ``://`` have an empty host and path and fit no rule; their
-    empty host has a reputation like any other. Columns of these names are replaced.
+    empty host has a reputation like any other. Rows that repeat are judged alike, and each counts;
+    no pages give no rows, no outcomes the verdict allow where no rule fits. Columns of these names are
+    replaced, others stay.
     """
     base = without(pages, "host", "path", "rule", "verdict")
+    rule_says, blocked = private(base, "rule_says", "blocked")
     host, path = host_and_path(F.col("url"))
     placed = base.withColumn("host", host).withColumn("path", path)
     labelled = placed.select("page_id", "host").join(outcomes.select("page_id", F.col("bad").cast("int").alias("bad")), "page_id", "left").select("host", "bad")
     text, says = longest_rule(F.col("host"), F.col("path"), rules)
-    blocked = small(reputation(labelled).filter(F.col("bound") > threshold).select("host", F.lit(True).alias("__blocked")))
-    judged = placed.withColumn("rule", text).withColumn("__rule_says", says).join(blocked, "host", "left")
-    return judged.select(*[F.col(f"`{c}`") for c in base.columns], "host", "path", "rule", F.coalesce("__rule_says", F.when(F.col("__blocked"), "block").otherwise("allow")).alias("verdict"))
+    bad = small(reputation(labelled).filter(F.col("bound") > threshold).select("host", F.lit(True).alias(blocked)))
+    judged = placed.withColumn("rule", text).withColumn(rule_says, says).join(bad, "host", "left")
+    return judged.select(*columns(base), "host", "path", "rule", F.coalesce(rule_says, F.when(F.col(blocked), "block").otherwise("allow")).alias("verdict"))
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

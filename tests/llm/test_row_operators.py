@@ -277,6 +277,38 @@ def test_sketch_loses_no_item(spark):
     assert got and same(got, oracle(D.OP7_SQL, documents=docs, benchmark=items))
 
 
+def test_only_sketch_hits_are_verified(spark, monkeypatch):
+    """Documents that share a fifth of an item's shingles meet few sketch hashes; every item that is there is a candidate."""
+    r, told = random.Random(4), []
+    items = [(i, prose(300 + i, 60)) for i in range(40)]
+    docs = [(i, f"{prose(i, 30)} {' '.join(text.split()[: 60 if i % 8 == 0 else 14])} {prose(i + 50, r.randint(5, 40))}") for i, text in items]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+
+    class Kept(D.Scratch):
+        def written(self, df, name, large=False):
+            out = super().written(df, name, large)
+            told.append(out.count())
+            return out
+
+    monkeypatch.setattr(D, "Scratch", Kept)
+    found = D.contaminated(docs, items).collect()
+    shingle_rows = lambda df, key: df.select(key, F.explode(D.shingles(F.col("text"), 5)).alias("h"))
+    shared = shingle_rows(docs, "doc_id").join(shingle_rows(items, "item_id"), "h")
+    pairs = shared.select("doc_id", "item_id").distinct().count()
+    assert len(found) == 5 and pairs == 40 and shared.count() > 600
+    (candidates,) = told
+    assert 5 <= candidates < pairs
+    sketch = D.sketches(items.select(F.col("item_id").alias("i1"), F.col("item_id").alias("i2"), D.shingles(F.col("text"), 5).alias("s")))
+    assert sketch.count() == 40 * (64 - 52 + 1)  # sets of 56 are in the class of up to 64
+
+
+def test_no_column_is_lost_or_changed(spark):
+    items = spark.createDataFrame([(1, prose(9, 20))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a b c", 5, "x", 2.0), (2, prose(9, 20), 6, "y", 3.0)], "doc_id long, text string, K1 int, k2 string, i1 double")
+    kept = D.decontaminated(docs, items)
+    assert kept.columns == docs.columns and kept.collect() == docs.filter("doc_id = 1").collect()
+
+
 def test_short_items_are_found_in_long_documents(spark):
     items = [(1, "What is 2 + 2?"), (2, "alpha beta"), (3, "Omega!"), (4, prose(9, 20)), (5, "x y z"), (6, "one two three four")]
     long = prose(3, 60)
@@ -288,6 +320,7 @@ def test_short_items_are_found_in_long_documents(spark):
     k1, k2 = D.text_keys(F.col("text"))
     got = docs.select("doc_id", k1.alias("k1"), k2.alias("k2")).join(D.contaminated(docs, items), ["k1", "k2"]).collect()
     assert sorted((r.doc_id, r.item_id) for r in got) == want and len(want) == 8
+    assert same([(r.doc_id, r.item_id, r.n_shared, r.n_item, r.containment) for r in got], oracle(D.OP7_SQL, documents=docs, benchmark=items))
     assert all(r.n_shared == r.n_item == r.containment == 1 for r in got if r.item_id != 4)
     assert sorted(r.doc_id for r in D.decontaminated(docs, items).collect()) == [2, 6, 8, 10]
 
