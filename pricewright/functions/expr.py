@@ -246,8 +246,15 @@ def vin_year_plausible(raw: Column, year: Column) -> Column:
 
 
 def trigrams(text: Column) -> Column:
-    t = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\s+", " "))
-    return F.when(F.length(t) >= 3, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - 2, F.lit(1))), lambda i: F.substring(t, i, F.lit(3))))).otherwise(F.array().cast("array<string>"))
+    """Distinct runs of three characters of the text in lower case, white space single; none of a shorter one."""
+    clean = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\s+", " "))
+
+    def of(c: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.size(c) - 3), lambda i: F.concat(F.get(c, i), F.get(c, i + 1), F.get(c, i + 2)))
+        return F.when(F.size(c) >= 3, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+
+    # the characters are named once, so that the text is not cleaned again for each place
+    return F.element_at(F.transform(F.array(F.split(clean, "")), of), 1)
 
 
 def set_similarity(a: Column, b: Column) -> Column:
