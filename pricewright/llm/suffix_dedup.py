@@ -1,18 +1,22 @@
 """Suffix-array dedup by depth-limited radix sort.
 
-Suffixes are ordered only through their first ``width`` tokens, by most-significant-digit passes,
-and after each pass only groups of two or more go on; the equal groups of the last pass are exactly
-the repeated windows. Ordering every suffix would shuffle the text many times over, so the first
-passes order one suffix for each *run* of windows (see ``windows``):
-
-1. the digit of ``digit`` tokens at the run's anchor: two equal windows have equal first digits;
-2. the rest of the run's tokens as one digit: a run that occurs again is repeated as a whole;
-3. for runs that share the first digit with another run and differ in the second, the full depth of
-   each of their windows, one copy of each distinct run taking part.
-
-Groups are spread by key; pass 2 counts with partial aggregation; in pass 3 the windows of a first
-digit that very many distinct runs share are dealt out by window, after equal ones have been met
-within each batch. No task holds the group of a hot passage.
+A suffix is ordered only through its first ``width`` tokens (its window), by most-significant-digit
+passes; after each pass only groups of two or more go on, and the groups that are left after the last
+are exactly the repeated windows. Which tokens make the first digits is chosen so that few are looked at:
+
+1. The first digit is the ``digit``-token string at the window's anchor (see ``windows``): equal windows
+   have it at the same offset. Consecutive windows of one anchor are one *run* and have one row, so
+   the pass deals out about one row in 90 places; a run whose digit occurs nowhere else is done.
+2. Runs of one first digit are ordered by the rest of their tokens as one digit (told by two independent
+   64-bit hashes): a run that occurs again is repeated as a whole.
+3. Of the distinct runs that share the first digit and differ in the second the windows are ordered,
+   each at its own offset, by digits of 8 bytes (or one word) of the text itself, within a task.
+
+Nothing is sampled but the place of the first digit, and that depends on the window alone, so no equal
+pair is parted. Groups are spread by key; pass 2 counts with partial aggregation. If very many distinct
+runs share a first digit, their windows go by a second one that is nearly the whole window: the tokens
+that all windows of a block of offsets have. What is equal within a batch of a task meets there first
+and goes on once, so no task holds the group of a hot passage.
 """
 
 from __future__ import annotations
@@ -28,11 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import windows as W
-from .common import Scratch, partitions, read, sliced, text_keys, trim, without, written
+from .common import Scratch, columns, partitions, private, read, sliced, text_keys, trim, without, written
 from .shingles import word_spans, word_values
 
-#: Runs of one first digit whose windows stay together in pass 3; a larger group is split by window.
-SPLIT = 256
+#: Runs of one first digit whose windows stay together in pass 3; those of a larger group are dealt out by blocks of offsets (so many a window) and the tokens that a block shares.
+SPLIT, BLOCKS = 64, 16
 #: Windows that meet within a batch of pass 3, and that make up one group of its shuffle.
 MEET, GROUP = 300_000, 400_000
 
@@ -56,71 +60,93 @@ def _texts(column: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
 def _runs(unit: str, width: int, digit: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 2):
-            columns: list[list[np.ndarray]] = [[], [], [], [], [], []]
+            found: list[list[np.ndarray]] = [[] for _ in RUN_SCHEMA.split(",")]
             k1, k2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for i, text in enumerate(_texts(batch.column(2))):
                 values, _, _ = _tokens(text, unit)
-                start, n, akey = W.runs(values, width, digit)
+                start, n, akey, offset = W.runs(values, width, digit)
                 if not len(start):
                     continue
                 source = text if unit == "bytes" else values.tobytes()
                 scale = 1 if unit == "bytes" else 8
                 lo, hi = (start * scale).tolist(), ((start + n + width - 1) * scale).tolist()
-                rest = np.array([xxhash.xxh3_64_intdigest(source[a:b]) for a, b in zip(lo, hi)], np.uint64)
-                for into, x in zip(columns, (akey.view(np.int64), rest.view(np.int64), np.full(len(n), k1[i]), np.full(len(n), k2[i]), start.astype(np.int32), n.astype(np.int32))):
+                rest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(source[a:b]) for a, b in zip(lo, hi)), np.int64).reshape(-1, 2)
+                for into, x in zip(found, (akey.view(np.int64), rest[:, 0], rest[:, 1], np.full(len(n), k1[i]), np.full(len(n), k2[i]), start.astype(np.int32), n.astype(np.int32), offset.astype(np.int32))):
                     into.append(x)
-            if columns[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], names=["akey", "rest", "k1", "k2", "start", "n"])
+            if found[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found], names=[c.split()[0] for c in RUN_SCHEMA.split(", ")])
         trim()
 
     return step
 
 
-RUN_SCHEMA = "akey long, rest long, k1 long, k2 long, start int, n int"
-WINDOW_SCHEMA = "bucket int, k1 long, k2 long, start int, akey long, known boolean, lo int, hi int, at binary, hash binary"
+RUN_SCHEMA = "akey long, rest long, rest2 long, k1 long, k2 long, start int, n int, offset int"
+WINDOW_SCHEMA = "bucket int, k1 long, k2 long, start int, akey long, offset int, known boolean, lo int, hi int, data binary"
 SPAN_SCHEMA = "k1 long, k2 long, lo int, hi int"
 
 
-def _windows(unit: str, width: int, buckets: int):
-    """Entries of pass 3: (first digit, full-depth hash) of each window of the runs listed for a text.
+class _Runs:
+    """Windows of runs in memory, ordered by digits. ``data``: the tokens of each run; ``offset``: of the anchor in its first window."""
+
+    def __init__(self, unit: str, width: int, data: list[bytes], akey: list[int], offset: list[int], known: list[bool]):
+        scale = 1 if unit == "bytes" else 8
+        size = np.array([len(x) // scale for x in data], np.int64)
+        n = size - width + 1
+        self.row = np.repeat(np.arange(len(data)), n)
+        self.at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        self.offset = np.array(offset, np.int64)[self.row] - self.at
+        self.known = np.array(known, bool)[self.row]
+        key = np.array(akey, np.int64)[self.row]
+        order = np.lexsort((self.offset, key))
+        new = np.concatenate(([False], (np.diff(key[order]) != 0) | (np.diff(self.offset[order]) != 0))) if len(order) else np.zeros(0, bool)
+        group = np.empty(len(order), np.int64)
+        group[order] = np.cumsum(new)
+        raw = b"".join(data)
+        step = min(8, width) if unit == "bytes" else 1
+        digits = W.byte_digits(np.frombuffer(raw, np.uint8), step) if unit == "bytes" else np.frombuffer(raw, np.uint64)
+        places = [*range(0, width - step + 1, step)] + ([width - step] if width % step else [])
+        leader = W.equal_windows(digits, self.at + np.repeat(np.cumsum(size) - size, n), group, places)
+        #: whether a window is the first of its equals, and whether it is repeated here or known to be
+        self.first = leader == np.arange(len(leader))
+        self.twice = (np.bincount(leader, minlength=1)[leader] > 1) | (np.bincount(leader, weights=self.known, minlength=1) > 0)[leader]
+
+
+def _windows(unit: str, width: int, digit: int, buckets: int):
+    """Entries of pass 3: the tokens of the runs listed for a text, whole or, of hot first digits, in blocks of offsets.
 
     Windows that occur twice in a batch are known to be repeated: the runs they come from get their
     reply here, and one of them goes on to tell the other batches.
     """
+    kinds = {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    block, scale = max(1, width // BLOCKS), 1 if unit == "bytes" else 8
 
-    def flush(runs: list, values: list) -> pa.RecordBatch:
-        row = np.repeat(np.arange(len(runs)), [len(v) for v in values])
-        at = np.concatenate([np.arange(len(v)) for v in values])
-        full = np.concatenate(values)
-        akey = np.array([r[3] for r in runs], np.int64).view(np.uint64)
-        known, parts = np.array([r[4] for r in runs]), np.array([r[5] for r in runs], np.uint64)
-        same, twice, first = _met(akey[row], full, known[row])
+    def flush(runs: list[dict]) -> pa.RecordBatch:
+        w = _Runs(unit, width, [r["data"] for r in runs], [r["akey"] for r in runs], [r["offset"] for r in runs], [r["known"] for r in runs])
         out: dict[str, list] = {c.split()[0]: [] for c in WINDOW_SCHEMA.split(", ")}
 
         def put(**x) -> None:
             for c, into in out.items():
                 into.append(x.get(c))
 
-        hit = twice & ~known[row]
-        for r, lo, hi in _reach(row[hit], at[hit]):
-            k1, k2, start = runs[r][:3]
-            put(bucket=r % buckets, k1=k1, k2=k2, start=start, lo=start + lo, hi=start + hi + width)
-        keep = np.flatnonzero(first)
-        part = full[keep] % parts[row[keep]]
-        flag = twice[keep] | known[row[keep]]
-        order = np.lexsort((flag, part, row[keep]))
-        keep, part, flag = keep[order], part[order], flag[order]
-        cut = np.flatnonzero(np.concatenate(([True], (np.diff(row[keep]) != 0) | (np.diff(part.view(np.int64)) != 0) | (flag[1:] != flag[:-1])))) if len(keep) else keep
+        hit = w.twice & ~w.known
+        for i, lo, hi in _reach(w.row[hit], w.at[hit]):
+            r = runs[i]
+            put(bucket=i % buckets, k1=r["k1"], k2=r["k2"], start=r["start"], lo=r["start"] + lo, hi=r["start"] + hi + width)
+        part = np.where(np.array([r["hot"] for r in runs])[w.row], w.offset // block, -1)
+        keep = np.flatnonzero(w.first)
+        row, at, part, flag = w.row[keep], w.at[keep], part[keep], (w.twice | w.known)[keep]
+        cut = np.flatnonzero(np.concatenate(([True], (np.diff(row) != 0) | (np.diff(at) != 1) | (np.diff(part) != 0) | (flag[1:] != flag[:-1])))) if len(keep) else keep
         for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(keep)]):
-            r = int(row[keep[a]])
-            k1, k2, start, key = runs[r][:4]
-            bucket = (int(W.mix(akey[r : r + 1] + part[a : a + 1])[0]) >> 1) % buckets
-            put(bucket=bucket, k1=k1, k2=k2, start=start, akey=key, known=bool(flag[a]), at=at[keep[a:b]].astype(np.int32).tobytes(), hash=full[keep[a:b]].tobytes())
-        kinds = {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+            r, lo, hi, p = runs[int(row[a])], int(at[a]), int(at[b - 1]) + 1, int(part[a])
+            key = r["akey"].to_bytes(8, "little", signed=True)
+            if p >= 0:  # what every window of the block has, whichever of them this run has
+                least, most = p * block, min(p * block + block - 1, width - digit)
+                key += r["data"][(r["offset"] - least) * scale : (r["offset"] - most + width) * scale]
+            put(bucket=xxhash.xxh3_64_intdigest(key, p + 1) % buckets, k1=r["k1"], k2=r["k2"], start=r["start"] + lo, akey=r["akey"], offset=r["offset"] - lo, known=bool(flag[a]), data=r["data"][lo * scale : (hi + width - 1) * scale])
         return pa.RecordBatch.from_arrays([pa.array(out[c.split()[0]], kinds[c.split()[1]]) for c in WINDOW_SCHEMA.split(", ")], names=list(out))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs, values, size, before = [], [], 0, None
+        runs, size, before = [], 0, None
         for batch in sliced(batches, "text"):
             lists = batch.column("runs").to_pylist()
             k1, k2 = batch.column("k1").to_pylist(), batch.column("k2").to_pylist()
@@ -128,35 +154,20 @@ def _windows(unit: str, width: int, buckets: int):
                 if (k1[i], k2[i]) == before:  # a copy of the text above it
                     continue
                 before = (k1[i], k2[i])
-                sums = W.prefix_sums(_tokens(text, unit)[0])
+                source = text if unit == "bytes" else _tokens(text, unit)[0].tobytes()
                 for x in lists[i]:
-                    runs.append((k1[i], k2[i], x["start"], x["akey"], x["known"], x["parts"]))
-                    values.append(W.hashes(sums, x["start"], x["start"] + x["n"], width))
+                    runs.append(x | {"k1": k1[i], "k2": k2[i], "data": source[x["start"] * scale : (x["start"] + x["n"] + width - 1) * scale]})
                     size += x["n"]
                 if size >= MEET:
-                    yield flush(runs, values)
-                    runs, values, size = [], [], 0
+                    yield flush(runs)
+                    runs, size = [], 0
         if runs:
-            yield flush(runs, values)
+            yield flush(runs)
         trim()
 
     return step
 
 
-def _met(akey: np.ndarray, full: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each window: the number of its equal group, whether it is repeated, whether it is the group's first."""
-    order = np.lexsort((akey, full))
-    a, f = akey[order], full[order]
-    new = np.concatenate(([True], (a[1:] != a[:-1]) | (f[1:] != f[:-1]))) if len(a) else np.zeros(0, bool)
-    group = np.empty(len(a), np.int64)
-    group[order] = np.cumsum(new) - 1
-    count = np.bincount(group, minlength=1)
-    said = np.bincount(group, weights=known, minlength=1) > 0
-    first = np.zeros(len(a), bool)
-    first[order[new]] = True
-    return group, ((count >= 2) | said)[group], first
-
-
 def _reach(row: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int]]:
     """First and last repeated window of each run; a run has fewer windows than ``width``, so all between is covered."""
     if not len(row):
@@ -168,22 +179,16 @@ def _reach(row: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int]]:
     return list(zip(rows.tolist(), lo.tolist(), hi.tolist()))
 
 
-def _replies(width: int):
+def _replies(unit: str, width: int):
     def step(table: pa.Table) -> pa.Table:
         told = table.filter(pc.is_valid(table["lo"])).select(["k1", "k2", "lo", "hi"])
         asked = table.filter(pc.is_null(table["lo"]))
-        rows = asked.select(["k1", "k2", "start", "akey", "known"]).to_pylist()
+        rows = asked.select(["k1", "k2", "start", "akey", "offset", "known"]).to_pylist()
         if not rows:
             return told
-        at = [np.frombuffer(x, np.int32) for x in _texts(asked["at"])]
-        row = np.repeat(np.arange(len(rows)), [len(x) for x in at])
-        at = np.concatenate(at)
-        full = np.concatenate([np.frombuffer(x, np.uint64) for x in _texts(asked["hash"])])
-        akey = np.array([r["akey"] for r in rows], np.int64).view(np.uint64)
-        known = np.array([r["known"] for r in rows])[row]
-        _, twice, _ = _met(akey[row], full, known)
-        hit = twice & ~known
-        found = [(rows[r]["k1"], rows[r]["k2"], rows[r]["start"] + lo, rows[r]["start"] + hi + width) for r, lo, hi in _reach(row[hit], at[hit])]
+        w = _Runs(unit, width, list(_texts(asked["data"])), *([r[c] for r in rows] for c in ("akey", "offset", "known")))
+        hit = w.twice & ~w.known
+        found = [(rows[r]["k1"], rows[r]["k2"], rows[r]["start"] + lo, rows[r]["start"] + hi + width) for r, lo, hi in _reach(w.row[hit], w.at[hit])]
         trim()
         names = ["k1", "k2", "lo", "hi"]
         new = pa.table([pa.array([x[i] for x in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=names)
@@ -204,32 +209,33 @@ def repeated_spans(docs: DataFrame, width: int, unit: str = "bytes", text: str =
 
 def _repeated_spans(docs: DataFrame, width: int, unit: str, text: str, scratch: Scratch) -> DataFrame:
     spark = docs.sparkSession
-    digit = width // 2
-    k1, k2 = text_keys(F.col(text))
-    keyed = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(text).alias("text"))
+    digit = max(1, width // 2)
+    k1, k2 = text_keys(F.col(f"`{text}`"))
+    keyed = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(f"`{text}`").alias("text"))
     runs = scratch.written(keyed.mapInArrow(_runs(unit, width, digit), RUN_SCHEMA), "runs")
     # pass 1: first digits met twice or more, and whether what follows them differs
     # a table of its own, so that the join with it deals out both sides and a hot digit's rows can be split
-    met_digits = scratch.written(runs.groupBy("akey").agg(F.count("*").alias("occ"), F.min("rest").alias("least"), F.max("rest").alias("most")).filter("occ > 1").select("akey", "occ", (F.col("least") != F.col("most")).alias("mixed")), "digits")
-    met = scratch.written(runs.join(met_digits, "akey"), "met")
+    rest = F.struct("rest", "rest2")
+    met_digits = scratch.written(runs.groupBy("akey").agg(F.count("*").alias("occ"), F.min(rest).alias("least"), F.max(rest).alias("most")).filter("occ > 1").select("akey", "occ", (F.col("least") != F.col("most")).alias("mixed")), "digits")
+    met = scratch.written(runs.join(met_digits, "akey"), "met", large=True)
     scratch.drop(runs)
     alike, mixed = met.filter("not mixed"), met.filter("mixed")
     # pass 2, with one occurrence of each distinct run; `first` takes all of them from the same row
-    status = scratch.written(mixed.groupBy("akey", "rest").agg(F.count("*").alias("c"), *[F.first(x).alias(x) for x in ("k1", "k2", "start", "n", "occ")]), "status")
-    again = mixed.join(status.filter("c > 1").select("akey", "rest"), ["akey", "rest"]).select(*alike.columns)
+    same = ["akey", "rest", "rest2"]
+    status = scratch.written(mixed.groupBy(*same).agg(F.count("*").alias("c"), *[F.first(x).alias(x) for x in ("k1", "k2", "start", "n", "offset", "occ")]), "status", large=True)
+    again = mixed.join(status.filter("c > 1").select(*same), same).select(*alike.columns)
     whole = alike.unionByName(again).select("k1", "k2", F.col("start").alias("lo"), (F.col("start") + F.col("n") + F.lit(width - 1)).cast("int").alias("hi")).distinct()
     # pass 3
-    asking = status
-    total = asking.agg(F.sum("n")).first()[0] or 0
-    buckets = max(partitions(spark) * 2, -(-total // GROUP))
-    listed = asking.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n", "akey", (F.col("c") > 1).alias("known"), F.ceil(F.col("occ") / SPLIT).cast("long").alias("parts"))).alias("runs"))
-    entries = keyed.join(listed, ["k1", "k2"]).select("k1", "k2", "text", "runs").mapInArrow(_windows(unit, width, buckets), WINDOW_SCHEMA)
-    replies = scratch.written(entries.groupBy("bucket").applyInArrow(_replies(width), SPAN_SCHEMA), "replies")
+    total = status.agg(F.sum("n")).first()[0] or 0
+    buckets = max(partitions(spark) * 8, -(-total // GROUP))
+    listed = status.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n", "akey", "offset", (F.col("c") > 1).alias("known"), (F.col("occ") > SPLIT).alias("hot"))).alias("runs"))
+    entries = keyed.join(listed, ["k1", "k2"]).select("k1", "k2", "text", "runs").mapInArrow(_windows(unit, width, digit, buckets), WINDOW_SCHEMA)
+    replies = scratch.written(entries.groupBy("bucket").applyInArrow(_replies(unit, width), SPAN_SCHEMA), "replies", large=True)
     spans = whole.unionByName(replies).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    return written(spans, "spans")
+    return written(spans, "spans", large=True)
 
 
-def _cut(unit: str, keep_text: bool, text_at: int, fields: list[pa.Field]):
+def _cut(unit: str, keep_text: bool, text_at: int, fields: list[str], report: bool):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, text_at):
             out: list[list] = [[], [], [], []]
@@ -249,39 +255,41 @@ def _cut(unit: str, keep_text: bool, text_at: int, fields: list[pa.Field]):
                 for into, value in zip(out, (len(text), removed, n, hashlib.sha256(kept).hexdigest())):
                     into.append(value)
                 kept_texts.append(kept.decode("utf-8", "ignore") if batch.column(text_at)[i].is_valid else None)
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
+            kept_columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             if keep_text:
-                columns[text_at] = pa.array(kept_texts, pa.string())
+                kept_columns[text_at] = pa.array(kept_texts, pa.string())
             added = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())]
-            yield pa.RecordBatch.from_arrays([*columns, *added], names=[*fields, *ADDED])
+            yield pa.RecordBatch.from_arrays([*kept_columns, *(added if report else ())], names=[*fields, *(ADDED if report else ())])
         trim()
 
     return step
 
 
-def suffix_dedup(docs: DataFrame, width: int = 400, unit: str = "bytes", text: str = "text", keep_text: bool = True) -> DataFrame:
+def suffix_dedup(docs: DataFrame, width: int = 400, unit: str = "bytes", text: str = "text", keep_text: bool = True, report: bool = True) -> DataFrame:
     """``docs`` with every token removed that a ``width``-token window covers which also starts elsewhere.
 
     ``unit`` is ``bytes`` (UTF-8) or ``words`` (split at ASCII white space; the bytes from a removed
     run's first word to its last go). Windows are judged on the input and all their occurrences go.
     ``keep_text`` puts what is left in the text column (bytes of a character cut in two are dropped
-    there); if false, the text stays as it is. Added: n_bytes, n_removed, n_spans, kept_sha256 (of
-    the bytes left, before decoding).
+    there); if false, the text stays as it is. With ``report`` the columns ADDED follow: n_bytes,
+    n_removed, n_spans, kept_sha256 (of the bytes left, before decoding).
 
-    Nulls: a null text counts as empty and stays null. Texts shorter than ``width`` stay whole.
-    Repeated rows count as copies: each loses its windows. Columns of ``docs`` with the names added are
-    replaced; all others, doc_id included, may hold anything. An empty table gives an empty one.
+    Nulls: a null text counts as empty and stays null. Texts shorter than ``width`` stay whole, very long
+    ones are read whole. Repeated rows count as copies: each loses its windows. Columns of ``docs`` with
+    the names added are replaced; all others, doc_id included, may hold anything. An empty table gives
+    an empty one.
     """
-    spans = repeated_spans(docs, width, unit, text)
-    base = without(docs, *ADDED, "k1", "k2", "spans")
-    k1, k2 = text_keys(F.col(f"`{text}`"))
-    joined = base.withColumns({"k1": k1, "k2": k2}).join(spans, ["k1", "k2"], "left").select(*[F.col(f"`{c}`") for c in base.columns], "spans")
-    schema = base.withColumns({"n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long"), "kept_sha256": F.lit("")}).schema
-    for field in schema.fields[-4:]:
-        field.nullable = True
-    return joined.mapInArrow(_cut(unit, keep_text, base.columns.index(text), base.columns), schema)
+    added = ADDED if report else ()
+    base = without(docs, *added)
+    k1, k2, spans = private(base, "k1", "k2", "spans")
+    h1, h2 = text_keys(F.col(f"`{text}`"))
+    found = repeated_spans(docs, width, unit, text).withColumnsRenamed({"k1": k1, "k2": k2, "spans": spans})
+    joined = base.withColumns({k1: h1, k2: h2}).join(found, [k1, k2], "left").select(*columns(base), spans)
+    schema = base.withColumns({c: F.lit(None).cast("string" if c == "kept_sha256" else "long") for c in added}).schema
+    return joined.mapInArrow(_cut(unit, keep_text, base.columns.index(text), base.columns, report), schema)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document: 400-byte strings that start elsewhere too are cut."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup(docs, 400, "bytes", keep_text=False).select("doc_id", *ADDED)

@@ -112,15 +112,16 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = 20_000, voca
 
     The sample takes the rows whose hash of doc_id is least, so it is the same on every run. Features
     are the ``vocabulary`` ones of highest chi-square among those in ``min_df`` texts or more (half that in
-    small samples), and the identity terms. Rows with a null doc_id or label are not used; with no
-    usable row or just one class the model scores every text by the base rate.
+    small samples), and the identity terms. Rows with a null doc_id or label are not used; a doc_id
+    labelled more than once is toxic if any of its labels says so, and of rows that repeat a doc_id one
+    is taken, the least by text. With no usable row or just one class the model scores every text by
+    the base rate; texts without words have no features. No other column is looked at.
     """
-    spark = docs.sparkSession
-    known = labels.select("doc_id", F.col("toxic").cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0)
+    known = labels.select("doc_id", F.col("toxic").cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0).groupBy("doc_id").agg(F.max("y").alias("y"))
     share = min(1.0, max_train_rows / max(1, known.count()))
-    taken = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    taken = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 52)) < max(1, int(share * (1 << 52))))
     # at most about max_train_rows rows of two numbers
-    sample = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").select("text", "y")
+    sample = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("text", "y")
     found = written(sample.mapInArrow(_features, "y int, own array<string>, twin array<string>"), "features")
     n, positive = found.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not n or not 0 < positive < n:
@@ -138,13 +139,14 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = 20_000, voca
     return Model({f: float(w) for f, w in zip(names, weights) if abs(w) > 1e-6}, bias)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, text: str = "text", added: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on), from the whole text alone.
 
-    A null text counts as empty and gets the score of no feature at all. Columns of these names are replaced.
+    A null text counts as empty and gets the score of no feature at all; equal texts score alike, an
+    empty table gives an empty one. Columns of the names ``added`` are replaced, others stay.
     """
-    base = without(docs, "score", "predicted")
-    names = [*base.columns, "score", "predicted"]
+    base = without(docs, *added)
+    names = [*base.columns, *added]
     at = names.index(text)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,11 +155,12 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], names=names)
         trim()
 
-    schema = base.withColumns({"score": F.lit(0.0), "predicted": F.lit(0)}).schema
+    schema = base.withColumns({added[0]: F.lit(0.0), added[1]: F.lit(0)}).schema
     return base.mapInArrow(step, schema)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every document, by a model of the labels of those not held out."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, read(spark, sf_dir, "labels"))
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))

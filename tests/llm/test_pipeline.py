@@ -51,6 +51,19 @@ def test_stages_bear_awkward_and_empty_tables(spark):
                 assert out.columns == docs.columns
 
 
+def test_stages_give_extra_columns_back(spark):
+    """Columns with names that operators use inside come back untouched from every stage but the last."""
+    extra = {"score": 7.0, "predicted": 9, "k1": 1, "K2": "x", "spans": "y", "n_bytes": 3, "n_removed": 4, "kept_sha256": "z", "root": 5, "order": "o", "best": 2, "class_key": 6, "bits": "b"}
+    docs = spark.createDataFrame([(i, prose(i, 70), "en", "s", i) for i in range(6)] + [(9, prose(1, 70), "en", "s", 0)], DOCUMENTS)
+    docs = docs.withColumns({c: C.F.lit(v) for c, v in extra.items()})
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        rows = {r.doc_id: r.asDict() for r in out.collect()}
+        assert len(rows) == (6 if name == "near_duplicates" else 7) and all(r[c] == v for r in rows.values() for c, v in extra.items())
+    assert C.STAGES[-1][1](spark, docs, SF).count() == 7
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     assert set(queries.ORACLES) <= set(queries.QUERIES)

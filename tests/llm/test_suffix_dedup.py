@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pricewright.llm import suffix_dedup as S
 from pricewright.llm import windows as W
+from tests.llm.conftest import prose
 
 
 def brute(texts, width):
@@ -66,8 +67,9 @@ def test_empty_table_and_clashing_columns(spark, no_docs):
     assert results(no_docs, 400).count() == 0
     docs = spark.createDataFrame([(1, "a" * 500, 9, 8, "z", 7)], "doc_id long, text string, N_bytes int, k1 int, spans string, runs int")
     out = results(docs, 400)
-    assert out.columns == ["doc_id", "text", "runs", *S.ADDED]
+    assert out.columns == ["doc_id", "text", "k1", "spans", "runs", *S.ADDED]  # only what it adds is replaced
     row = out.first()
+    assert (row.k1, row.spans) == (8, "z")
     assert (row.runs, row.n_bytes, row.n_removed, row.n_spans) == (7, 500, 500, 1)
 
 
@@ -85,7 +87,7 @@ def test_anchor_depends_on_the_window_alone():
     a, b = (np.concatenate((r.integers(0, 4, n).astype(np.uint8), shared, r.integers(0, 4, 50).astype(np.uint8))) for n in (40, 77))
 
     def anchors(x):
-        start, n, key = W.runs(W.BYTE_VALUES[x], 100, 30)
+        start, n, key, _ = W.runs(W.BYTE_VALUES[x], 100, 30)
         return np.repeat(key, n)
 
     assert (anchors(a)[40:241] == anchors(b)[77:278]).all()
@@ -100,3 +102,31 @@ def test_spans_of_texts_without_repeats_are_absent(spark):
     docs = spark.createDataFrame([(1, "abcdefgh" * 2), (2, "unique text of its own")], "doc_id long, text string")
     assert S.repeated_spans(docs, 20).count() == 0
     assert S.suffix_dedup(docs, 20).filter(F.col("n_removed") > 0).count() == 0
+
+
+@pytest.mark.parametrize("width", [1, 3, 8, 13, 24])
+def test_digit_passes_find_equal_windows(width):
+    r = np.random.default_rng(width)
+    raw = r.integers(97, 99, 400).astype(np.uint8)
+    at = r.permutation(len(raw) - width + 1)
+    group = r.integers(0, 2, len(at))
+    size = min(8, width)
+    places = [*range(0, width - size + 1, size)] + ([width - size] if width % size else [])
+    leader = W.equal_windows(W.byte_digits(raw, size), at, group, places)
+    least = {}
+    for i, (a, g) in enumerate(zip(at, group)):
+        least.setdefault((g, raw[a : a + width].tobytes()), i)
+    assert leader.tolist() == [least[g, raw[a : a + width].tobytes()] for a, g in zip(at, group)]
+
+
+def test_equal_hashes_of_first_digits_do_not_make_windows_equal():
+    """If first digits all look alike the bytes still decide."""
+    texts = ["x" * 60 + prose(1, 30), prose(2, 20) + prose(1, 30), prose(3, 40)]
+    data, offset = [], []
+    for t in texts:
+        first, n, _, at = W.runs(W.BYTE_VALUES[np.frombuffer(t.encode(), np.uint8)], 40, 20)
+        data += [t.encode()[a : a + k + 39] for a, k in zip(first.tolist(), n.tolist())]
+        offset += at.tolist()
+    w = S._Runs("bytes", 40, data, [0] * len(data), offset, [False] * len(data))
+    windows = [data[r][a : a + 40] for r, a in zip(w.row, w.at)]
+    assert w.twice.tolist() == [windows.count(x) > 1 for x in windows] and w.twice.any() and not w.twice.all()
