@@ -405,6 +405,8 @@ def _classes(docs: DataFrame, words: int, percent: int, text: str, scratch: Scra
     def settled(open_: DataFrame, count: bool) -> DataFrame:
         """Links of the documents that stand in a tile together. Their sets are made from the texts, and sent to the tiles, once."""
         asked = open_.join(classes.select("id", "k1", "k2", "copies"), "id").groupBy("k1", "k2", "id").agg(F.collect_list(F.struct("tile", "side", "home", "root", "copies", "tokens")).alias("tiles"))
+        # a table, so that the join deals out both sides and a hot text's rows can be split
+        asked = scratch.written(asked, "asked")
         needed = open_.select("id").distinct().join(classes.select("id", "k1", "k2"), "id").select("k1", "k2")
         few = needed.count() <= BROADCAST_ROWS
         texts = keyed.join(F.broadcast(needed), ["k1", "k2"], "left_semi") if few else keyed

@@ -229,6 +229,8 @@ def _repeated_spans(docs: DataFrame, width: int, unit: str, text: str, scratch:
     total = status.agg(F.sum("n")).first()[0] or 0
     buckets = max(partitions(spark) * 8, -(-total // GROUP))
     listed = status.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n", "akey", "offset", (F.col("c") > 1).alias("known"), (F.col("occ") > SPLIT).alias("hot"))).alias("runs"))
+    # a table, so that the join deals out both sides and a hot text's rows can be split: copies of a text have known runs only, so it does no harm if two tasks look at them
+    listed = scratch.written(listed, "listed")
     entries = keyed.join(listed, ["k1", "k2"]).select("k1", "k2", "text", "runs").mapInArrow(_windows(unit, width, digit, buckets), WINDOW_SCHEMA)
     replies = scratch.written(entries.groupBy("bucket").applyInArrow(_replies(unit, width), SPAN_SCHEMA), "replies", large=True)
     spans = whole.unionByName(replies).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
