@@ -290,3 +290,54 @@ def duplicate_score(a: str, b: str) -> Column:
 
 def year_bucket(year: Column) -> Column:
     return F.when(year < 1960, "pre1960").when(year < 1970, "1960s").when(year < 1980, "1970s").when(year < 1990, "1980s").when(year < 2000, "1990s").when(year < 2010, "2000s").otherwise("2010plus")
+
+
+# windows
+
+
+def within(at: Column, first: Column, last: Column) -> Column:
+    """Whether a time is from the first day's begin to the last day's end; false if it is none."""
+    return F.coalesce((at >= F.to_date(first)) & (at < F.date_add(F.to_date(last), 1)), F.lit(False))
+
+
+def year_within(text: Column, first: Column, last: Column) -> Column:
+    """Whether the first year of the 20th or 21st century that a text names lies in the years of the window."""
+    year = F.regexp_extract(F.coalesce(text, F.lit("")), r"(?:19|20)\d{2}", 0).try_cast("int")
+    return F.coalesce(year.between(F.year(first), F.year(last)), F.lit(False))
+
+
+def recent_window(first: Column, last: Column, as_of: Column, days: int) -> tuple[Column, Column]:
+    """The configured window cut to the last ``days`` before ``as_of``, and never beyond it."""
+    return F.greatest(first.cast("timestamp"), as_of - F.make_dt_interval(F.lit(max(1, days)))), F.least(last.cast("timestamp"), as_of)
+
+
+def aged_at_most(at: Column, as_of: Column, days: float) -> Column:
+    """Whether a time is past and no more than ``days`` ago."""
+    age = days_before(as_of, at)
+    return F.coalesce((age >= 0) & (age <= days), F.lit(False))
+
+
+# JSON
+
+
+def json_or_null(items: Column) -> Column:
+    """A list as JSON, null for none and for an empty one."""
+    return F.when(F.size(items) > 0, F.to_json(items))
+
+
+def json_list(text: Column, kind: str = "string") -> Column:
+    """A list stored as JSON; null and what cannot be read are an empty list."""
+    return F.coalesce(F.from_json(text, f"array<{kind}>"), F.array().cast(f"array<{kind}>"))
+
+
+def lacks(text: Column, path: str) -> Column:
+    """Whether a JSON text has nothing at the path."""
+    return F.get_json_object(text, path).isNull()
+
+
+def event_end(json_ld: Column) -> Column:
+    """The first date of a page's JSON-LD, one event or several: an event's end, else its start."""
+    event = "struct<endDate:string,startDate:string>"
+    nodes = F.when(F.trim(json_ld).startswith("["), F.from_json(json_ld, f"array<{event}>")).otherwise(F.array(F.from_json(json_ld, event)))
+    said = F.transform(nodes, lambda n: F.coalesce(F.nullif(n["endDate"], F.lit("")), n["startDate"]))
+    return F.regexp_extract(F.get(F.filter(said, lambda x: x.rlike(r"\d{4}-\d{2}-\d{2}")), 0), r"\d{4}-\d{2}-\d{2}", 0).try_cast("date")

@@ -47,3 +47,27 @@ def freshness(df: DataFrame, at: str, as_of: Column, by: str = "source") -> Data
     """Newest record of each source, and records of the last 14, 30 and 90 days."""
     days = F.datediff(as_of, F.col(at))
     return df.groupBy(by).agg(F.max(at).alias("newest"), *[F.count_if(days <= n).alias(f"last_{n}") for n in (14, 30, 90)])
+
+
+def health(records: DataFrame, drifts: DataFrame, as_of: Column, by: str = "source") -> DataFrame:
+    """(by, n, invalid, drifted, low, status): record checks and drift of each source in one report.
+
+    ``drifts`` is the outcome of ``drift``; a source without a baseline has null flags there.
+    """
+    checked = records.groupBy(by).agg(F.count("*").alias("n"), F.count_if(F.size(record_errors(as_of)) > 0).alias("invalid"))
+    flags = drifts.groupBy(by).agg(F.bool_or("drifted").alias("drifted"), F.bool_or("low").alias("low"))
+    j = checked.join(flags, by, "left")
+    return j.withColumn("status", F.when((F.col("invalid") > 0) | F.coalesce(F.col("drifted") | F.col("low"), F.lit(False)), "NEEDS_REVIEW").when(F.col("drifted").isNull(), "BASELINE_ESTABLISHED").otherwise("OK"))
+
+
+def saved_baseline(now: DataFrame, path: str, by: str = "source") -> None:
+    """Keep the shares of a harvest (``population``) as the baseline of the next one."""
+    now.select(by, "field", F.col("share").alias("base_share")).write.mode("overwrite").json(path)
+
+
+def baseline(spark, path: str, by: str = "source") -> DataFrame:
+    """The baseline kept at ``path``; none is an empty one."""
+    schema = f"`{by}` string, field string, base_share double"
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(there)
+    return spark.read.schema(schema).json(path) if found else spark.createDataFrame([], schema)

@@ -81,7 +81,7 @@ def valuations(sales: DataFrame, items: DataFrame, listings: DataFrame, as_of: C
     grouped = points.groupBy(*KEY).agg(
         *carried,
         F.count("*").alias("n"),
-        F.flatten(F.collect_list(F.array_repeat("adjusted", F.col("repeats")))).alias("weighted"),
+        F.collect_list(F.struct(F.col("adjusted").alias("value"), F.col("repeats").cast("long").alias("weight"))).alias("weighted"),
         E.half_up(F.median(raw)).alias("median_price"),
         F.min("adjusted").alias("price_low"),
         F.max("adjusted").alias("price_high"),
@@ -133,15 +133,18 @@ def own_scope(sales: DataFrame) -> DataFrame:
     return sales.withColumn("scope", F.lit("own"))
 
 
-def window_scope(sales: DataFrame, items: DataFrame) -> DataFrame:
+def window_scope(sales: DataFrame, items: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """Each sale under every item of the same make, model line and body up to two model years off.
 
     The band becomes an equality: a sale is repeated for the five years it reaches, and joined on keys.
+    ``targets`` (item_id): the items to be valued so, all if not given.
     """
     line = ["make", "model_key", "body"]
     from_item = items.select("item_id", "year", *line).na.fill("", line)
     reach = sales.join(from_item, "item_id").drop("item_id").withColumn("target", F.explode(F.sequence(F.col("year") - HALF_WIDTH, F.col("year") + HALF_WIDTH))).drop("year")
     to_item = from_item.withColumnRenamed("year", "target")
+    if targets is not None:
+        to_item = to_item.join(targets.select("item_id"), "item_id", "left_semi")
     return reach.join(to_item, [*line, "target"]).drop(*line, "target").withColumn("scope", F.lit("window"))
 
 
@@ -170,6 +173,13 @@ def best_scope(own: DataFrame, window: DataFrame, sales_count: str = "sales_coun
     return joined.filter(F.col("o.item_id").isNotNull() | borrow).select(*columns)
 
 
+def with_fallback(sales: DataFrame, items: DataFrame, listings: DataFrame, as_of: Column) -> DataFrame:
+    """The valuation of every item from its own sales, or its line's; only items whose own say too little are valued by their line."""
+    own = valuations(own_scope(sales), items, listings, as_of)
+    poor = items.select("item_id").join(own.filter("signal <> 'insufficient'").select("item_id"), "item_id", "left_anti")
+    return best_scope(own, valuations(window_scope(sales, items, poor), items, listings, as_of))
+
+
 def with_trend_score(v: DataFrame) -> DataFrame:
     """Valuations with ``trend_score``: the low bound of the trend, shrunk to the mean trend of all items that have one."""
     mean = v.agg(F.coalesce(F.avg("annual_return"), F.lit(0.0)).alias("mean_trend"))  # one row

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import audit_queries, identity_queries, market_queries, quality_queries, valuation_queries
+from . import audit_queries, identity_queries, market_queries, quality_queries, service_queries, valuation_queries
 
-MODULES = (valuation_queries, market_queries, identity_queries, quality_queries, audit_queries)
+MODULES = (valuation_queries, market_queries, identity_queries, quality_queries, audit_queries, service_queries)
 
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}

@@ -48,11 +48,18 @@ listed_sale as (select item_id, lot, line, price, mileage, sold_at, unsold, abro
 _TRIGRAMS = "list_distinct(list_transform(range(1, len({0}) - 1), lambda i: substr({0}, i, 3)))"
 
 
-@query(_LISTED + f""", p as (select a.item_id, a.lot as a_lot, a.line as a_line, b.lot as b_lot, b.line as b_line, a.price as pa, b.price as pb, a.mileage as ma, b.mileage as mb, a.src as sa, b.src as sb, a.vin as va, b.vin as vb, abs(epoch_us(a.sold_at) - epoch_us(b.sold_at)) / 86400e6 as apart, {_TRIGRAMS.format('a.title')} as ga, {_TRIGRAMS.format('b.title')} as gb
-  from listed_sale a join listed_sale b on a.item_id = b.item_id and (a.lot, a.line, a.price) < (b.lot, b.line, b.price) where abs(epoch_us(a.sold_at) - epoch_us(b.sold_at)) <= 7 * 86400000000),
-s as (select *, case when a_lot = b_lot and sa = sb then 1.0 when va is not null and vb is not null then case when va = vb then 1.0 else 0.0 end else
+
+
+def scored_sql(name: str, which: str) -> str:
+    """SQL step ``name``: scored pairs of listed sales within a week for which ``which`` holds."""
+    return f"""{name}_p as (select a.item_id, a.lot as a_lot, a.line as a_line, b.lot as b_lot, b.line as b_line, a.price as pa, b.price as pb, a.mileage as ma, b.mileage as mb, a.src as sa, b.src as sb, a.vin as va, b.vin as vb, abs(epoch_us(a.sold_at) - epoch_us(b.sold_at)) / 86400e6 as apart, {_TRIGRAMS.format('a.title')} as ga, {_TRIGRAMS.format('b.title')} as gb
+  from listed_sale a join listed_sale b on a.item_id = b.item_id and {which} where abs(epoch_us(a.sold_at) - epoch_us(b.sold_at)) <= 7 * 86400000000),
+{name} as (select *, case when a_lot = b_lot and sa = sb then 1.0 when va is not null and vb is not null then case when va = vb then 1.0 else 0.0 end else
   case when abs(pa - pb) / greatest(pa, pb) < 0.005 then 0.45 when abs(pa - pb) / greatest(pa, pb) < 0.02 then 0.2 when abs(pa - pb) / greatest(pa, pb) <= 0.13 then 0.3 else 0.0 end
-  + case when apart <= 2 then 0.25 else 0.1 end + case when abs(ma - mb) <= greatest(100.0, 0.01 * ma) then 0.2 else 0.0 end + 0.1 * len(list_intersect(ga, gb)) / (len(ga) + len(gb) - len(list_intersect(ga, gb))) end as score from p)
+  + case when apart <= 2 then 0.25 else 0.1 end + case when abs(ma - mb) <= greatest(100.0, 0.01 * ma) then 0.2 else 0.0 end + 0.1 * len(list_intersect(ga, gb)) / (len(ga) + len(gb) - len(list_intersect(ga, gb))) end as score from {name}_p)"""
+
+
+@query(_LISTED + f""", {scored_sql('s', '(a.lot, a.line, a.price) < (b.lot, b.line, b.price)')}
 select item_id, count(*) as pairs, count(*) filter (score >= 0.75) as duplicates, round(sum(score), 4) as total_score from s group by item_id""")
 def cross_source_pairs(spark: SparkSession, d: str) -> DataFrame:
     s = listed_sales(spark, d).withColumn("sale_id", F.struct("lot", "line", "price"))

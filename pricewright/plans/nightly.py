@@ -44,9 +44,7 @@ def run_stages(stages: Sequence[Stage], only: Sequence[str] = (), skip: Sequence
 def value_all(sales: DataFrame, items: DataFrame, listings: DataFrame, as_of) -> DataFrame:
     """The valuation of every item with the fallback to its model line, and its trend score: always in full."""
     counts = listings.groupBy("item_id").agg(F.count("*").alias("n_listings"))
-    own = V.valuations(V.own_scope(sales), items, counts, as_of)
-    wide = V.valuations(V.window_scope(sales, items), items, counts, as_of)
-    return V.with_trend_score(V.best_scope(own, wide))
+    return V.with_trend_score(V.with_fallback(sales, items, counts, as_of))
 
 
 def nightly(spark: SparkSession, sales: DataFrame, items: DataFrame, listings: DataFrame, as_of, path: str, version: int) -> list[dict]:

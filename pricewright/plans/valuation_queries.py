@@ -179,9 +179,7 @@ def model_window_valuation(spark: SparkSession, d: str) -> DataFrame:
 def signal_scope(spark: SparkSession, d: str) -> DataFrame:
     """Valuation with the model-line fallback: scope, price and trend of each item."""
     sales, items, counts = M.sales(spark, d), M.items(spark, d), M.listing_counts(spark, d)
-    own = V.valuations(V.own_scope(sales), items, counts, M.as_of())
-    wide = V.valuations(V.window_scope(sales, items), items, counts, M.as_of())
-    return V.best_scope(own, wide).select("item_id", "scope", "sales_count", "current_value", *r6("annual_return", "confidence"), "signal")
+    return V.with_fallback(sales, items, counts, M.as_of()).select("item_id", "scope", "sales_count", "current_value", *r6("annual_return", "confidence"), "signal")
 
 
 @query(R.own(R.GROUPED) + """

@@ -131,9 +131,27 @@ def test_regressions_of_constant_columns(spark):
 
 
 def test_trimmed_mean(one):
-    values = F.array(*[lit(x) for x in (100, 1, 2, 3, 4, 5, 6, 7, 8, -90)])
+    entry = lambda v, w: F.struct(lit(float(v)).alias("value"), lit(w).cast("long").alias("weight"))
+    values = F.array(*[entry(x, 1) for x in (100, 1, 2, 3, 4, 5, 6, 7, 8, -90)])
     assert one(S.trimmed_mean(values, lit(0.1))) == pytest.approx(4.5) and one(S.trimmed_mean(values, lit(0.0))) == pytest.approx(4.6)
-    assert one(S.trimmed_mean(F.array().cast("array<double>"), lit(0.1))) is None
+    assert one(S.trimmed_mean(F.array().cast("array<struct<value:double,weight:bigint>>"), lit(0.1))) is None
+    weighted = F.array(entry(5, 3), entry(100, 4), entry(-1, 3))  # -1 -1 -1 5 5 5 100 100 100 100
+    assert one(S.trimmed_mean(weighted, lit(0.2))) == pytest.approx((-1 + 15 + 200) / 6)
+
+
+def test_windows_and_json(one):
+    at = lambda x: F.lit(x).cast("timestamp")
+    day, last = at("2024-01-02"), at("2024-01-31")
+    assert one(E.within(at("2024-01-31 23:59:59"), day, last)) and not one(E.within(at("2024-02-01"), day, last)) and not one(E.within(at(None), day, last))
+    assert one(E.year_within(F.lit("sale-of-2024-x1999"), day, last)) and not one(E.year_within(F.lit("no year"), day, last)) and not one(E.year_within(F.lit(None).cast("string"), day, last))
+    assert one(E.aged_at_most(at("2024-01-01"), last, 30)) and not one(E.aged_at_most(at("2024-02-02"), last, 30))
+    lo, hi = E.recent_window(day, last, at("2024-01-20"), 5)
+    assert str(one(lo))[:10] == "2024-01-15" and str(one(hi))[:10] == "2024-01-20"
+    assert one(E.json_or_null(F.array())) is None and one(E.json_or_null(F.array(F.lit(1)))) == "[1]"
+    assert one(E.json_list(F.lit("[1, 2]"), "int")) == [1, 2] and one(E.json_list(F.lit(None).cast("string"))) == []
+    assert one(E.lacks(F.lit('{"a": 1}'), "$.b")) and not one(E.lacks(F.lit('{"a": 1}'), "$.a"))
+    assert str(one(E.event_end(F.lit('{"startDate": "2024-08-15", "endDate": "2024-08-17T10:00"}')))) == "2024-08-17"
+    assert str(one(E.event_end(F.lit('[{"name": "x"}, {"startDate": "2023-08-15"}]')))) == "2023-08-15" and one(E.event_end(F.lit("not json"))) is None
 
 
 @settings(max_examples=25, deadline=None)
