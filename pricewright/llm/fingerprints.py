@@ -180,4 +180,5 @@ def _search(ascending, n: int):
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every document."""
     return fingerprints(read(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -180,7 +180,8 @@ def measure(root: Node) -> list[Node]:
         base = math.log(c / plain * node.link_chars + links / whole * c + math.e)
         # both logarithms one up, so that a node without links has a density too
         node.density = node.chars / t * math.log(1 + max(1.0, c / lc * t / lt)) / math.log(1 + base)
-        node.total = sum(x.density for x in node.children if isinstance(x, Node) and not x.out)
+        # words set off within a block are no part beside it: their elements hand on what blocks they hold
+        node.total = sum(x.density if x.tag in BLOCK else x.total for x in node.children if isinstance(x, Node) and not x.out)
     return order
 
 
@@ -320,7 +321,8 @@ def extract(page: str | None) -> str:
 def extracted(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` with ``text`` (the article; empty for a null page or one without) and ``n_chars``, its code points.
 
-    Each row is judged by its own page alone; columns of these names are replaced, others stay.
+    Each row is judged by its own page alone, so repeated rows come out alike; very long pages are read
+    whole, an empty table gives an empty one. Columns of these names are replaced, others stay.
     """
     base = without(pages, "text", "n_chars")
     names = [*base.columns, "text", "n_chars"]
@@ -336,4 +338,5 @@ def extracted(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, url, text, n_chars) of every page."""
     return extracted(read(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")

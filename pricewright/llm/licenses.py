@@ -136,7 +136,8 @@ def licences(docs: DataFrame, text: str = "text") -> DataFrame:
     comment signs before each; a blank line ends it. ``n_unknown``: what is left and names a licence, grant
     or disclaimer, counted by lines and by sentence ends within them. ``status``: ``known`` if a rule matched, else ``unknown`` if
     there are such sentences or unmatched identifiers, else ``none``. A null or empty text has none.
-    Columns of these names are replaced; no other column but the text is looked at.
+    Each row is judged alone, so repeated rows come out alike; very long texts are read whole, an empty
+    table gives an empty one. Columns of these names are replaced; no other column but the text is looked at.
     """
     base = without(docs, "sentence_ids", "licences", "n_unknown", "status")
     known = F.create_map(*[F.lit(x) for pair in sorted(known_sentences().items()) for x in pair])
@@ -168,6 +169,7 @@ def licences(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, sentence_ids, licences, n_unknown, status) of every document."""
     return licences(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "sentence_ids", "licences", "n_unknown", "status")
 
 

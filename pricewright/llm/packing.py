@@ -85,7 +85,8 @@ def pack(docs: DataFrame, key: str = "doc_id", length: Column | None = None, con
     bucket of its own length class. ``padded_length`` is the bucket's boundary; ``batch`` numbers the
     batches of a bucket from 0, each holding floor(budget / padded_length) pieces (1 at least) but
     for the last one; ``slot`` is the place in the batch. Null keys and repeated rows are packed
-    like others; equal keys keep no order among them.
+    like others; equal keys keep no order among them. Very long texts are counted whole. An empty table
+    gives an empty one; no column of ``docs`` but the key and those of ``length`` is looked at.
     """
     spark = docs.sparkSession
     if budget < context:

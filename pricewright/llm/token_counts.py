@@ -154,8 +154,10 @@ def counted(docs: DataFrame, ranks: dict[bytes, int], edits=sample_edits, patter
     """``docs`` with n_tokens, n_tokens_edited, n_pretokens, n_reencoded of the whole text and its edits.
 
     ``edits(text)`` lists (start, end, new text) in code points, each of the text as edited so far.
-    ``n_reencoded``: pre-tokens looked at again for all edits. A null text counts as empty, and its edits
-    are made as those of an empty one. Columns of these names are replaced.
+    ``n_reencoded``: pre-tokens looked at again for all edits. ``pattern`` may look no more than AHEAD code
+    points past the end of a match, as the public ones do. A null text counts as empty, and its edits
+    are made as those of an empty one; repeated rows come out alike, very long texts are read whole, an
+    empty table gives an empty one. Columns of these names are replaced.
     """
     base = without(docs, "n_tokens", "n_tokens_edited", "n_pretokens", "n_reencoded")
     names = [*base.columns, "n_tokens", "n_tokens_edited", "n_pretokens", "n_reencoded"]
@@ -181,4 +183,5 @@ def counted(docs: DataFrame, ranks: dict[bytes, int], edits=sample_edits, patter
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(doc_id, n_tokens, n_tokens_edited, n_pretokens, n_reencoded) of every document and three edits of it."""
     return counted(read(spark, sf_dir, "documents").select("doc_id", "text"), ranks_of(vocabulary)).select("doc_id", "n_tokens", "n_tokens_edited", "n_pretokens", "n_reencoded")
