@@ -41,16 +41,23 @@ def written(df: DataFrame, name: str, large: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch that the JVM hands to Python while an operator writes its tables, under this setting.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+
+
 class Scratch:
     """Tables written for one operator; all go at its end but those it keeps.
 
-    What an operator returns rests on a kept table, so a lost executor needs none of the others.
+    What an operator returns rests on a kept table, so a lost executor needs none of the others. While
+    they are written Arrow batches are small; at the end the session has its own setting again.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, []
 
     def __enter__(self) -> Scratch:
+        self.batch = self.spark.conf.get(BATCH)
+        self.spark.conf.set(BATCH, BATCH_BYTES)
         return self
 
     def written(self, df: DataFrame, name: str, large: bool = False) -> DataFrame:
@@ -69,6 +76,7 @@ class Scratch:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def __exit__(self, *_) -> None:
+        self.spark.conf.set(BATCH, self.batch)
         self._delete(self.paths)
         release(self.spark)
 

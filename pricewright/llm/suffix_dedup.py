@@ -215,8 +215,8 @@ def _repeated_spans(docs: DataFrame, width: int, unit: str, text: str, scratch:
     runs = scratch.written(keyed.mapInArrow(_runs(unit, width, digit), RUN_SCHEMA), "runs")
     # pass 1: first digits met twice or more, and whether what follows them differs
     # a table of its own, so that the join with it deals out both sides and a hot digit's rows can be split
-    rest = F.struct("rest", "rest2")
-    met_digits = scratch.written(runs.groupBy("akey").agg(F.count("*").alias("occ"), F.min(rest).alias("least"), F.max(rest).alias("most")).filter("occ > 1").select("akey", "occ", (F.col("least") != F.col("most")).alias("mixed")), "digits")
+    differ = (F.min("rest") != F.max("rest")) | (F.min("rest2") != F.max("rest2"))
+    met_digits = scratch.written(runs.groupBy("akey").agg(F.count("*").alias("occ"), differ.alias("mixed")).filter("occ > 1"), "digits")
     met = scratch.written(runs.join(met_digits, "akey"), "met", large=True)
     scratch.drop(runs)
     alike, mixed = met.filter("not mixed"), met.filter("mixed")

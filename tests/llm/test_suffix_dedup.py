@@ -73,6 +73,14 @@ def test_empty_table_and_clashing_columns(spark, no_docs):
     assert (row.runs, row.n_bytes, row.n_removed, row.n_spans) == (7, 500, 500, 1)
 
 
+def test_the_sessions_settings_come_back(spark, docs):
+    from pricewright.llm.common import BATCH
+
+    before = {k: spark.conf.get(k) for k in (BATCH, "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    results(docs, 40).collect()
+    assert before == {k: spark.conf.get(k) for k in before}
+
+
 def test_query_has_the_contracts_columns(spark):
     from tests.conftest import SF
 
