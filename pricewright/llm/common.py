@@ -29,15 +29,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str, large: bool = False) -> DataFrame:
-    """``df`` cut from its lineage by a Parquet table in the shared folder; after a large one finished shuffles are let go.
+    """``df`` cut from its lineage by a Parquet table in the shared folder; before a large one finished shuffles are let go.
 
     Executors may be lost at any time after this: the table is read again, nothing is recomputed.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     if large:
         release(spark)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

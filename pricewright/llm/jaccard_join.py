@@ -39,7 +39,7 @@ ROUNDS, CROWDED = 3, 64
 #: Bits of a signature, and those of it that first tiles hold (its first half folded onto the second).
 BITS, TILE_BITS = 2048, 1024
 #: Documents of a block of a token, their tokens, and entries of a tile; a token of more documents than BANDED is parted by size bands.
-TILE, TILE_TOKENS, TILE_ROWS, BANDED = 512, 1 << 20, 2048, 64
+TILE, TILE_TOKENS, TILE_ROWS, BANDED = 512, 1 << 20, 1024, 64
 #: Prefix entries of one group of the shuffle, and bytes of sets of one task.
 GROUP, TASK_BYTES = 250_000, 64 << 20
 
@@ -496,7 +496,8 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def component_ids(placed: DataFrame, key: str) -> DataFrame:
     """``placed`` with ``component_id``: the least ``key`` of the rows with its root, its own if the root is null."""
-    least = placed.filter("root is not null").groupBy("root").agg(F.min(key).alias("component_id"))
+    # a table, so that the join deals out both sides and a hot component's rows can be split
+    least = written(placed.filter("root is not null").groupBy("root").agg(F.min(key).alias("component_id")), "least")
     return placed.join(least, "root", "left").withColumn("component_id", F.when(F.col("root").isNull(), F.col(key)).otherwise(F.col("component_id")))
 
 
