@@ -29,7 +29,7 @@ CURATED = {
 
 
 def _has(name: Column, fragments) -> Column:
-    return F.exists(F.array(*[F.lit(x) for x in fragments]), lambda x: F.contains(name, x))
+    return name.rlike("|".join(rf"\Q{x}\E" for x in fragments))
 
 
 def desirability(model: Column, make: Column, value: Column, msrp: Column, age: Column, curated: bool = True) -> Column:
@@ -49,9 +49,10 @@ def desirability(model: Column, make: Column, value: Column, msrp: Column, age:
     score = clamp(5 + tier + manual + worth + listed + aged + brand, 1, 10)
     if not curated:
         return score
-    # longest fragment first, so the first hit wins
-    table = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in sorted(CURATED.items(), key=lambda kv: (-len(kv[0]), kv[0]))])
-    return F.coalesce(F.get(F.filter(table, lambda x: F.contains(name, x["k"])), F.lit(0))["v"], score)
+    # longest fragment first, so the first hit wins; one piece of SQL, and looked through only where there is a hit
+    entries = (f"named_struct('k', '{k}', 'v', {v})" for k, v in sorted(CURATED.items(), key=lambda kv: (-len(kv[0]), kv[0])))
+    known = F.get(F.filter(F.expr(f"array({', '.join(entries)})"), lambda x: F.contains(name, x["k"])), F.lit(0))["v"]
+    return F.when(_has(name, CURATED), known).otherwise(score)
 
 
 def desirability_reasons(model: Column, make: Column, value: Column, msrp: Column, age: Column) -> Column:

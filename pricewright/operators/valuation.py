@@ -98,26 +98,37 @@ def valuations(sales: DataFrame, items: DataFrame, listings: DataFrame, as_of: C
     )
     n, vol = F.col("n"), F.col("volatility")
     v = grouped.join(listings, "item_id", "left").withColumn("n_listings", F.coalesce("n_listings", F.lit(0)))
-    v = v.withColumn("current_value", E.half_up(S.trimmed_mean(F.col("weighted"), F.when(n >= 8, 0.1).otherwise(0.0)))).drop("weighted")
+    # each step adds all that needs no other column of its own
     annual = F.expm1(-F.col("slope"))
     sure = (n >= 3) & (F.col("span_days") >= 180) & (F.abs(annual) <= 2.0)
+    v = v.withColumns({
+        "current_value": E.half_up(S.trimmed_mean(F.col("weighted"), F.when(n >= 8, 0.1).otherwise(0.0))),
+        "annual_return": F.when(sure, annual),
+        # without a usable span there is no fit to speak of
+        "r2": F.when((n >= 3) & (F.col("span_days") >= 180), F.col("r2")).otherwise(0.0),
+        "volatility": F.when(n >= 3, vol).otherwise(0.0),
+        "segment": E.segment(F.col("make"), F.col("boot_value")),
+    }).drop("weighted")
+    now, trend = F.col("current_value"), F.col("annual_return")
     late = F.expm1(-F.col("recent_slope"))
-    v = v.withColumn("annual_return", F.when(sure, annual))
-    v = v.withColumn("recent_return", F.when(F.col("annual_return").isNotNull(), F.when((F.col("recent_n") >= 2) & (F.col("recent_span") >= 180) & (F.abs(late) <= 2.0), late).otherwise(F.col("annual_return"))))
-    # without a usable span there is no fit to speak of
-    v = v.withColumn("r2", F.when((n >= 3) & (F.col("span_days") >= 180), F.col("r2")).otherwise(0.0)).withColumn("volatility", F.when(n >= 3, vol).otherwise(0.0))
-    v = v.withColumn("signal", E.signal(n, F.col("span_days"), F.col("annual_return"), F.col("recent_return")))
-    v = v.withColumn("confidence", E.confidence_score(n, F.col("r2"), F.col("volatility")))
-    v = v.withColumn("confidence_level", E.confidence_level(F.col("confidence"), n, F.col("volatility")))
-    v = v.withColumn("segment", E.segment(F.col("make"), F.col("boot_value"))).withColumn("depreciation", E.depreciation(F.col("current_value")))
-    v = v.withColumn("timing", E.timing(F.col("signal"), F.col("confidence"), F.col("annual_return")))
-    df = F.when(F.col("slope_se").isNotNull() & F.col("annual_return").isNotNull(), n - 2)
-    v = v.withColumn("trend_df", df).withColumn("trend_lcb", F.when(df.isNotNull(), E.bound_return(F.col("slope"), F.col("slope_se"), df, 1))).withColumn("trend_ucb", F.when(df.isNotNull(), E.bound_return(F.col("slope"), F.col("slope_se"), df, -1)))
-    rate, damp = E.forecast_rate(F.coalesce("annual_return", F.lit(0.0)), F.col("desirability"), F.col("age"), F.when(F.col("msrp") > 0, F.col("current_value") / F.col("msrp")), F.col("signal"), n, F.col("r2"))
-    v = v.withColumn("rate", rate).withColumn("damp", damp).withColumn("floor", E.half_up(0.4 * F.col("current_value")))
-    now, r, d, floor = F.col("current_value"), F.col("rate"), F.col("damp"), F.col("floor")
-    for years in (1, 3, 5):
-        v = v.withColumn(f"forecast_{years}y", E.projected(now, r, d, years, floor))
+    v = v.withColumns({
+        "recent_return": F.when(trend.isNotNull(), F.when((F.col("recent_n") >= 2) & (F.col("recent_span") >= 180) & (F.abs(late) <= 2.0), late).otherwise(trend)),
+        "confidence": E.confidence_score(n, F.col("r2"), vol),
+        "depreciation": E.depreciation(now),
+        "trend_df": F.when(F.col("slope_se").isNotNull() & trend.isNotNull(), n - 2),
+        "floor": E.half_up(0.4 * now),
+    })
+    df = F.col("trend_df")
+    v = v.withColumns({
+        "signal": E.signal(n, F.col("span_days"), trend, F.col("recent_return")),
+        "confidence_level": E.confidence_level(F.col("confidence"), n, vol),
+        "trend_lcb": F.when(df.isNotNull(), E.bound_return(F.col("slope"), F.col("slope_se"), df, 1)),
+        "trend_ucb": F.when(df.isNotNull(), E.bound_return(F.col("slope"), F.col("slope_se"), df, -1)),
+    })
+    rate, damp = E.forecast_rate(F.coalesce(trend, F.lit(0.0)), F.col("desirability"), F.col("age"), F.when(F.col("msrp") > 0, now / F.col("msrp")), F.col("signal"), n, F.col("r2"))
+    v = v.withColumns({"timing": E.timing(F.col("signal"), F.col("confidence"), trend), "rate": rate, "damp": damp})
+    r, d, floor = F.col("rate"), F.col("damp"), F.col("floor")
+    v = v.withColumns({f"forecast_{years}y": E.projected(now, r, d, years, floor) for years in (1, 3, 5)})
     doubt = F.greatest(F.lit(0.15), 1 - F.col("confidence"))
     f3, f5 = F.col("forecast_3y"), F.col("forecast_5y")
     v = v.withColumns({
