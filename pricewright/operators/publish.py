@@ -8,6 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def changed_keys(new: DataFrame, old: DataFrame, key: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
+    """Keys of ``new`` with a row that ``old`` has not, bookkeeping columns aside. Two 64-bit hashes stand for a row's other columns."""
+    judged = [c for c in new.columns if c not in ignore and c not in key]
+
+    def told(df: DataFrame) -> DataFrame:
+        # hashes pass over nulls, so it is hashed too which columns have one
+        blank = F.concat(F.lit(""), *[F.when(F.col(c).isNull(), "1").otherwise("0") for c in judged])
+        return df.select(*key, F.xxhash64(blank, *judged).alias("h1_"), F.xxhash64(F.lit(7), blank, *judged).alias("h2_"))
+
+    return told(new).subtract(told(old)).select(*key).distinct()
+
+
 def changed_rows(new: DataFrame, old: DataFrame, key: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
     """Whole rows of ``new`` that ``old`` has not, bookkeeping columns aside; equal rows count once."""
     judged = [c for c in new.columns if c not in ignore]

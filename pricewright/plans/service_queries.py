@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import expr as E
-from ..operators import garage, publish, quality, stored
+from ..operators import garage, publish, quality, stored, tables
 from ..operators import valuation as V
 from . import market as M
 from . import market_sql as R
@@ -68,9 +68,9 @@ def ingest_against_stored(spark: SparkSession, d: str) -> DataFrame:
 def ingest_twice(spark: SparkSession, d: str) -> DataFrame:
     """A batch taken in twice: the second time changes no row."""
     old, new = store_and_batch(spark, d)
-    once = stored.taken_in(old, new)["sales"]
-    twice = stored.taken_in(once, new)["sales"]
-    changed = publish.changed_rows(twice, once, ["sale_id"]).select("sale_id").union(publish.deleted_keys(twice, once, ["sale_id"]))
+    once = tables.written(stored.taken_in(old, new)["sales"], "once")
+    twice = tables.written(stored.taken_in(once, new)["sales"], "twice")
+    changed = publish.changed_keys(twice, once, ["sale_id"]).union(publish.deleted_keys(twice, once, ["sale_id"]))
     one = lambda df, name: F.broadcast(df.agg(F.count("*").alias(name)))
     return old.agg(F.count("*").alias("stored")).join(one(once, "after_once")).join(one(twice, "after_twice")).join(one(changed, "changed"))
 
