@@ -162,9 +162,9 @@ def timing_label(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {R.TABLES}, {R.WINDOW} select item_id, count(*) as pool, round(avg(price), 4) as mean_price, min(sold_at) as first_sale, max(sold_at) as last_sale from scoped group by item_id")
 def model_window_pool(spark: SparkSession, d: str) -> DataFrame:
-    pool = V.window_scope(M.sales(spark, d), M.items(spark, d))
-    at = lambda f, n: f(F.col("sold_at").cast("timestamp_ntz")).alias(n)
-    return pool.groupBy("item_id").agg(F.count("*").alias("pool"), F.round(F.avg("price"), 4).alias("mean_price"), at(F.min, "first_sale"), at(F.max, "last_sale"))
+    pool = V.window_totals(M.sales(spark, d), M.items(spark, d))
+    at = lambda n: F.col(n).cast("timestamp_ntz").alias(n)
+    return pool.select("item_id", "pool", F.round(F.col("price_sum") / F.col("price_n"), 4).alias("mean_price"), at("first_sale"), at("last_sale"))
 
 
 @query(f"with recursive {R.TABLES}, {R.WINDOW}, {R.POINTS}, {R.GROUPED} select item_id, sales_count, n, current_value, round(annual_return, 6) as annual_return, signal, round(confidence * 0.6, 6) as confidence from v4")

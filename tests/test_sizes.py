@@ -3,7 +3,13 @@
 import datetime
 import re
 
+from pyspark.sql import functions as F
+
 from pricewright.operators import dedup, publish, stored
+from pricewright.operators import valuation as V
+from pricewright.plans import catalogue
+from pricewright.plans import market as M
+from tests.conftest import SF
 from tests.test_stored import SALE, sale
 
 
@@ -35,3 +41,14 @@ def test_changed_keys_tell_which_column_is_null(spark):
     old = spark.createDataFrame([(1, "x", None, day), (2, "x", "y", day), (3, None, None, None)], schema)
     new = spark.createDataFrame([(1, None, "x", day), (2, "x", "y", day), (3, None, None, None), (4, "n", None, day)], schema)
     assert sorted(r.k for r in publish.changed_keys(new, old, ["k"]).collect()) == [1, 4]
+
+
+def test_window_totals_are_those_of_its_rows(spark):
+    """Sales are summed up before they reach other items: no join of sales with the items that borrow them."""
+    sales, items = M.sales(spark, SF), M.items(spark, SF)
+    rows = V.window_scope(sales, items).groupBy("item_id").agg(F.count("*").alias("pool"), F.round(F.avg("price"), 3).alias("price"), F.round(F.avg("mileage"), 3).alias("miles"), F.min("sold_at").alias("first"), F.max("sold_at").alias("last"))
+    totals = V.window_totals(sales, items).select("item_id", "pool", F.round(F.col("price_sum") / F.col("price_n"), 3), F.round(F.col("mileage_sum") / F.col("mileage_n"), 3), "first_sale", "last_sale")
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, totals.collect()))
+    text = plan(catalogue.QUERIES["model_window_pool"](spark, SF))
+    scan, repeated = text.index("Scan parquet", text.index("explode(sequence")), text.index("explode(sequence")
+    assert text.index("HashAggregate", repeated) < scan  # the tree is printed from its root: what is repeated has been summed up
