@@ -170,8 +170,7 @@ def model_window_pool(spark: SparkSession, d: str) -> DataFrame:
 @query(f"with recursive {R.TABLES}, {R.WINDOW}, {R.POINTS}, {R.GROUPED} select item_id, sales_count, n, current_value, round(annual_return, 6) as annual_return, signal, round(confidence * 0.6, 6) as confidence from v4")
 def model_window_valuation(spark: SparkSession, d: str) -> DataFrame:
     """Every item valued from its model line's sales, two model years each way."""
-    pool = V.window_scope(M.sales(spark, d), M.items(spark, d))
-    v = V.valuations(pool, M.items(spark, d), M.listing_counts(spark, d), M.as_of())
+    v = V.window_valuations(M.sales(spark, d), M.items(spark, d), M.listing_counts(spark, d), M.as_of())
     return v.select("item_id", "sales_count", "n", "current_value", *r6("annual_return"), "signal", F.round(F.col("confidence") * V.BORROWED, 6).alias("confidence"))
 
 

@@ -52,3 +52,17 @@ def test_window_totals_are_those_of_its_rows(spark):
     text = plan(catalogue.QUERIES["model_window_pool"](spark, SF))
     scan, repeated = text.index("Scan parquet", text.index("explode(sequence")), text.index("explode(sequence")
     assert text.index("HashAggregate", repeated) < scan  # the tree is printed from its root: what is repeated has been summed up
+
+
+def test_line_values_are_those_of_the_repeated_sales(spark):
+    """Items of one line and year are valued once for each desirability; what they are without a make or a list price is kept."""
+    odd = F.col("item_id")
+    items = M.items(spark, SF).withColumns({"make": F.when(odd % 9 > 0, F.col("make")), "year": F.when(odd % 11 > 0, F.lit(1980) + odd % 4), "model_key": F.when(odd % 5 > 0, "line"), "msrp": F.when(odd % 4 > 0, F.col("msrp") * (1 + odd % 3 * 30))})
+    sales = M.sales(spark, SF).withColumn("mileage", F.when(F.col("lot") % 3 > 0, F.col("mileage")))
+    counts = M.listing_counts(spark, SF)
+    plain = V.valuations(V.window_scope(sales, items), items, counts, M.as_of())
+    named = ["item_id", "make", "model", "msrp", "sales_count", "n", "n_listings", "desirability", "current_value", "signal", "timing", "segment", "forecast_5y", "liquidity", F.round("confidence", 6).alias("confidence"), F.round("annual_return", 6).alias("annual_return")]
+    got = V.window_valuations(sales, items, counts, M.as_of())
+    assert set(got.columns) == set(plain.columns)
+    want = sorted(map(str, plain.select(*named).collect()))
+    assert sorted(map(str, got.select(*named).collect())) == want and len(want) > 100
