@@ -89,6 +89,22 @@ def test_query_has_the_contracts_columns(spark):
     assert out.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
+def test_query_returns_what_is_left_of_planted_passages(spark, tmp_path):
+    """Passages of 400 bytes that two documents share are gone from both texts; shorter ones of over 50 words and all else stay."""
+    long, short = (" ".join(f"{w}{i:0{n}}" for i in range(55)) for w, n in (("passage", 3), ("w", 3)))
+    assert len(long) > 400 > len(short)
+    rows = [(0, f"{prose(1, 80)} {long} {prose(2, 40)}"), (1, f"{prose(3, 30)} {long}"), (2, f"{short} {prose(4, 70)}"), (3, f"{prose(5, 70)} {short}"), (4, prose(6, 120)), (5, ""), (6, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = S.op2_suffix_dedup(spark, str(tmp_path))
+    assert out.columns == ["doc_id", *S.ADDED, "text"]
+    got, texts = {r.doc_id: r for r in out.collect()}, dict(rows)
+    for i, r in got.items():
+        left = (r.text or "").encode()
+        assert r.n_bytes == len((texts[i] or "").encode()) and r.n_removed == r.n_bytes - len(left) and r.kept_sha256 == hashlib.sha256(left).hexdigest()
+    assert all(long[1:-1] not in got[i].text and got[i].n_removed >= len(long) for i in (0, 1))
+    assert all(got[i].text == texts[i] and not got[i].n_removed for i in range(2, 7)) and len(got) == 7
+
+
 def test_anchor_depends_on_the_window_alone():
     r = np.random.default_rng(1)
     shared = r.integers(0, 4, 300).astype(np.uint8)
