@@ -12,19 +12,21 @@ MAD_SCALE = 1.4826
 def trimmed_mean(entries: Column, share: Column) -> Column:
     """Mean of an array of (value, weight), each value as often as its weight says, less ``floor(n * share)`` at each end; null if empty."""
 
-    def of(ordered: Column) -> Column:
-        n = F.aggregate(ordered, F.lit(0).cast("long"), lambda s, e: s + e["weight"])
-        cut = F.floor(n * share)
+    total = lambda ordered: F.aggregate(ordered, F.lit(0).cast("long"), lambda s, e: s + e["weight"])
+
+    def of(x: Column) -> Column:
+        n, cut = x["n"], x["cut"]
         start = F.struct(F.lit(0).cast("long").alias("at"), F.lit(0.0).alias("sum"))
 
         def add(s: Column, e: Column) -> Column:
             here = F.greatest(F.lit(0), F.least(s["at"] + e["weight"], n - cut) - F.greatest(s["at"], cut))
             return F.struct((s["at"] + e["weight"]).alias("at"), (s["sum"] + here * e["value"]).alias("sum"))
 
-        return F.when(n > 0, F.aggregate(ordered, start, add, lambda s: s["sum"]) / F.greatest(n - 2 * cut, F.lit(1)))
+        return F.when(n > 0, F.aggregate(x["ordered"], start, add, lambda s: s["sum"]) / F.greatest(n - 2 * cut, F.lit(1)))
 
-    # named once, so that it is not sorted again for each use
-    return F.element_at(F.transform(F.array(F.sort_array(entries)), of), 1)
+    # named once, so that it is neither sorted again for each use nor summed up again for each entry
+    named = F.transform(F.array(F.sort_array(entries)), lambda x: F.struct(x.alias("ordered"), total(x).alias("n"), F.floor(total(x) * share).alias("cut")))
+    return F.element_at(F.transform(named, of), 1)
 
 
 def ols_slope(y: Column, x: Column) -> Column:

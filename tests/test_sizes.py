@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from pricewright.functions import stats as S
 from pricewright.operators import dedup, ingest, publish, stored
 from pricewright.operators import valuation as V
 from pricewright.plans import audit_queries, catalogue
@@ -54,6 +55,20 @@ def test_window_totals_are_those_of_its_rows(spark):
     assert text.index("HashAggregate", repeated) < scan  # the tree is printed from its root: what is repeated has been summed up
 
 
+def test_trimmed_mean_sums_weights_once(spark):
+    """The weights of a group are summed up before its entries are gone through, not again for each entry: that grew with the square of a group."""
+    groups = [[(float(i * 7919 % 1009), i % 11 + 1) for i in range(n)] for n in (0, 1, 9, 400)]
+    rows = spark.createDataFrame([(i, g, share) for i, g in enumerate(groups) for share in (0.0, 0.1)], "i int, g array<struct<value:double,weight:bigint>>, share double")
+    out = rows.select("i", "share", S.trimmed_mean(F.col("g"), F.col("share")).alias("mean"))
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("aggregate(") == 3  # the weights for the total and for the cut, and the values
+    for r in out.collect():
+        values = sorted(v for v, w in groups[r.i] for _ in range(w))
+        cut = int(len(values) * r.share)
+        kept = values[cut : len(values) - cut]
+        assert (r.mean is None) if not kept else abs(r.mean - sum(kept) / len(kept)) < 1e-9
+
+
 def test_line_values_are_those_of_the_repeated_sales(spark):
     """Items of one line and year are valued once for each desirability; what they are without a make or a list price is kept."""
     odd = F.col("item_id")
