@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import expr as E
-from ..operators import garage, publish, quality, stored, tables
+from ..operators import dedup, garage, publish, quality, stored, tables
 from ..operators import valuation as V
 from . import market as M
 from . import market_sql as R
@@ -66,13 +66,15 @@ def ingest_against_stored(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_taken_in_sql() + " select (select count(*) from listed_sale where lot % 2 = 0) as stored, (select count(*) from listed_sale) - (select count(*) from gone) as after_once, (select count(*) from listed_sale) - (select count(*) from gone) as after_twice, 0 as changed")
 def ingest_twice(spark: SparkSession, d: str) -> DataFrame:
-    """A batch taken in twice: the second time changes no row."""
-    old, new = store_and_batch(spark, d)
-    once = tables.written(stored.taken_in(old, new)["sales"], "once")
-    twice = tables.written(stored.taken_in(once, new)["sales"], "twice")
-    changed = publish.changed_keys(twice, once, ["sale_id"]).union(publish.deleted_keys(twice, once, ["sale_id"]))
+    """A batch taken in twice: the second time changes no row. Lines of one order, number and price share an id, and all are kept."""
+    stored_, batch = store_and_batch(spark, d)
+    old, new = (dedup.numbered(s, ["lot", "line", "price"], "item_id", "source_id", "sold_at", "mileage", "status") for s in (stored_, batch))
+    once = tables.written(stored.taken_in(old, new, copy="copy")["sales"], "once")
+    twice = tables.written(stored.taken_in(once, new, copy="copy")["sales"], "twice")
+    own = ["sale_id", "copy"]
+    changed = publish.changed_keys(twice, once, own).union(publish.deleted_keys(twice, once, own))
     one = lambda df, name: F.broadcast(df.agg(F.count("*").alias(name)))
-    return old.agg(F.count("*").alias("stored")).join(one(once, "after_once")).join(one(twice, "after_twice")).join(one(changed, "changed"))
+    return stored_.agg(F.count("*").alias("stored")).join(one(once, "after_once")).join(one(twice, "after_twice")).join(one(changed, "changed"))
 
 
 # listings

@@ -1,8 +1,11 @@
 import datetime
 
+import duckdb
 from pyspark.sql import functions as F
 
-from pricewright.operators import garage, quality, stored
+from pricewright.operators import dedup, garage, quality, stored
+from pricewright.plans import catalogue
+from tests.conftest import SF
 
 SALE = "item_id int, sale_id string, source string, lot string, url string, title string, price double, price_usd double, currency string, sold_at timestamp, status string, vin string, vin_normal string, mileage double, transmission string"
 
@@ -41,6 +44,44 @@ def test_a_batch_meets_the_store(spark):
     assert sorted(map(tuple, again["sales"].collect())) == sorted(map(tuple, out["sales"].collect())) and again["replaced"].count() == 0
 
 
+def test_rows_that_share_an_id_are_all_kept(spark):
+    """Of rows that share an id the batch brings each once, however often it is taken in; an id that goes takes one of them."""
+    old = spark.createDataFrame([sale("bat", "1", 1, item=1), sale("classic", "2", 1, item=2), sale("classic", "2", 1, item=3)], SALE)
+    new = spark.createDataFrame(
+        [
+            sale("mecum", "10", 1, item=4),
+            sale("mecum", "10", 1, item=5),  # the same id, another item
+            sale("hagerty", "11", 2, item=6),
+            sale("hagerty", "11", 2, item=6),  # the same row twice
+            sale("mecum", "12", 2, item=2),  # replaces one of two that share an id
+            sale("elsewhere", "13", 2, item=1),  # dropped
+            sale("elsewhere", "13", 2, item=7),
+        ],
+        SALE,
+    )
+    old, new = (dedup.numbered(df, ["sale_id"], "item_id") for df in (old, new))
+    out = stored.taken_in(old, new, copy="copy")
+    rows = sorted((r.sale_id, r.item_id) for r in out["sales"].collect())
+    assert rows == [("bat::1", 1), ("classic::2", 3), ("elsewhere::13", 7), ("hagerty::11", 6), ("hagerty::11", 6), ("mecum::10", 4), ("mecum::10", 5), ("mecum::12", 2)]
+    again = stored.taken_in(out["sales"], new, copy="copy")
+    assert sorted(map(tuple, again["sales"].collect())) == sorted(map(tuple, out["sales"].collect()))
+
+
+def test_ingest_twice_with_shared_ids_is_its_sql(spark, tmp_path):
+    """Lines of one order, number and price, as they come about in large tables, are counted as SQL counts them."""
+    c = duckdb.connect()
+    c.execute("set timezone = 'UTC'")
+    for t in ("part", "orders", "customer", "supplier", "nation", "region"):
+        (tmp_path / f"{t}.parquet").symlink_to(f"{SF}/{t}.parquet")
+    line = f"'{SF}/lineitem.parquet'"
+    c.execute(f"copy (select * from {line} union all by name select * replace ((l_partkey * 7 + 3) % 200 as l_partkey) from {line} where l_orderkey % 10 < 2 union all by name select * from {line} where l_orderkey % 10 = 5) to '{tmp_path}/lineitem.parquet' (format parquet)")
+    for f in tmp_path.glob("*.parquet"):
+        c.execute(f"create view {f.stem} as select * from '{f}'")
+    found = c.execute(catalogue.ORACLES["ingest_twice"])
+    want = dict(zip([x[0] for x in found.description], found.fetchone()))
+    assert catalogue.QUERIES["ingest_twice"](spark, str(tmp_path)).first().asDict() == want
+
+
 def test_a_dropped_sale_replaces_nothing(spark):
     """A sale that a more trusted stored one beats leaves a less trusted stored one alone; levels are taken best first."""
     pairs = spark.createDataFrame([(1, "a", "good", 2, 1), (1, "a", "poor", 2, 9), (2, "best", "mid", 1, 2), (2, "late", "mid", 5, 2)], "item_id int, a_id string, b_id string, a_trust int, b_trust int")
